@@ -25,6 +25,17 @@ def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint when it is seen to have at most ``max_rows`` rows.
+
+    For dimensions that are themselves joins: Catalyst's size guess for those is far too high, so it
+    would shuffle the fact even for a tiny one.  The check computes the dimension, never the fact.
+    """
+    if max_rows and df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str] = (),
                 hot: Sequence[int] = ()) -> DataFrame:
     """Left-outer lookup of ``dim`` on equally named keys; one copy of the keys remains.
@@ -41,14 +52,16 @@ def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: S
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     content = F.xxhash64(*[F.col(c) for c in spread_by])
     slice_ = F.when(any_null, F.pmod(content, F.lit(NULL_SPREAD)) + 1)
+    # 0 for every row, but not a literal: the optimiser would turn a literal into a filter on the
+    # fact's slice and leave it out of the hash partitioning
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
     if hot:
         slice_ = slice_.when(is_hot(on, hot), F.pmod(content, F.lit(HOT_SPREAD)) + 1)
-        slices = F.when(is_hot(on, hot), F.sequence(F.lit(1).cast("bigint"),
-                                                    F.lit(HOT_SPREAD).cast("bigint"))) \
-                  .otherwise(F.array(F.lit(0).cast("bigint")))
+        slices = F.when(is_hot(on, hot), F.sequence(zero + 1, zero + HOT_SPREAD)) \
+                  .otherwise(F.array(zero))
         dim = dim.withColumn("_slice", F.explode(slices))
     else:
-        dim = dim.withColumn("_slice", F.lit(0).cast("bigint"))
+        dim = dim.withColumn("_slice", zero)
     fact = fact.withColumn("_slice", slice_.otherwise(F.lit(0).cast("bigint")))
     return fact.join(dim, on + ["_slice"], "left").drop("_slice")
 
@@ -93,7 +106,7 @@ def active_ids(fact: DataFrame, ids: DataFrame, id_col: str, date_col: str, star
                end=None) -> DataFrame:
     """Ids with at least one row in the half-open range."""
     from cohortry.functions import in_range
-    hits = fact.where(in_range(date_col, start, end)).select(id_col)
+    hits = fact.where(in_range(date_col, start, end)).select(id_col).distinct()
     return ids.select(id_col).distinct().join(hits, id_col, "left_semi")
 
 

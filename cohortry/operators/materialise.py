@@ -8,16 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temp folder in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="cohortry-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        return named
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="cohortry-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -25,8 +29,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later uses read the stored rows instead of recomputing the plan."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    """``df`` as a table in the shared folder: lineage ends there, and later uses read only their
+    columns.  Stays valid when executors are lost."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

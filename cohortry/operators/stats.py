@@ -13,22 +13,17 @@ from cohortry.functions.scalars import ratio
 def numeric_profile(df: DataFrame, is_seed: str, cols: Sequence[str]) -> DataFrame:
     """One row per feature: mean and sample deviation over the seed and over everybody.
 
-    A single pass; the one-row wide aggregate is turned into rows afterwards.
+    A single pass: each person becomes one (feature, value) row per feature, and those combine into
+    ``len(cols)`` groups before anything is shuffled.  An empty population gives no rows.
     """
-    seed = F.col(is_seed) == 1
-    aggs = [F.count_if(seed).alias("_seeds"), F.count(F.lit(1)).alias("_all")]
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        in_seed = F.when(seed, x)
-        aggs += [F.avg(in_seed).alias(f"sm{i}"), F.stddev_samp(in_seed).alias(f"ss{i}"),
-                 F.avg(x).alias(f"pm{i}"), F.stddev_samp(x).alias(f"ps{i}")]
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"sm{i}").alias("seed_mean"),
-                 F.col(f"ss{i}").alias("seed_std"), F.col(f"pm{i}").alias("pop_mean"),
-                 F.col(f"ps{i}").alias("pop_std")) for i, c in enumerate(cols)])
-    wide = df.agg(*aggs)
-    return wide.select("_seeds", "_all", F.inline(rows)) \
-        .withColumnsRenamed({"_seeds": "n_seeds", "_all": "n_population"})
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+                      for c in cols])
+    seed = F.col("_seed") == 1
+    in_seed = F.when(seed, F.col("x"))
+    return df.select(F.col(is_seed).alias("_seed"), F.inline(pairs)).groupBy("feature").agg(
+        F.count_if(seed).alias("n_seeds"), F.count(F.lit(1)).alias("n_population"),
+        F.avg(in_seed).alias("seed_mean"), F.stddev_samp(in_seed).alias("seed_std"),
+        F.avg("x").alias("pop_mean"), F.stddev_samp("x").alias("pop_std"))
 
 
 def category_shares(df: DataFrame, is_seed: str, cols: Sequence[str]) -> DataFrame:

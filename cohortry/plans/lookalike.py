@@ -55,7 +55,7 @@ def gaussian_weights(profile) -> dict[str, tuple[float, float, float]]:
 def numeric_score(weights: dict[str, tuple[float, float, float]]) -> Column:
     """Sum over features of ``importance * exp(-z*z/2)``; a missing value contributes 0."""
     terms = []
-    for feature, (centre, bandwidth, importance) in weights.items():
+    for feature, (centre, bandwidth, importance) in sorted(weights.items()):
         z = (F.col(feature).cast("double") - F.lit(centre)) / F.lit(bandwidth)
         terms.append(F.coalesce(F.exp(F.lit(-0.5) * z * z) * F.lit(importance), F.lit(0.0)))
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
@@ -98,7 +98,7 @@ def score_population(pop: DataFrame, numeric: Sequence[str] = tuple(codes.NUMERI
     if store:
         pop = materialise(pop)
     profile = numeric_profile(pop, "is_seed", numeric).collect()
-    seeds = profile[0]["n_seeds"] if profile else pop.where("is_seed = 1").count()
+    seeds = profile[0]["n_seeds"] if profile else 0
     if seeds == 0:
         log.warning("the seed is empty: no audience is scored")
         pop = pop.limit(0)

@@ -29,6 +29,16 @@ def read_parquet_by_name(spark: SparkSession, path: str, schema: T.StructType,
     return df.select(*out)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals the rows of a source with fewer splits than cores out to all cores, by key hash.
+
+    For unsplittable input (a gzip file, a Parquet file of one row group).  A source with enough
+    splits, as any large one has, comes back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _reader(spark, schema, sep, header, glob, **options):
     reader = spark.read.schema(schema).options(sep=sep, header=header, quote='"', escape='"',
                                                dateFormat="yyyy-MM-dd", **options)

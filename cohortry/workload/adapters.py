@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortry.functions import codes
+from cohortry.sources import spread
 
 HOLDOUT = ("2001-07-01", "2001-08-01")
 AS_OF = "2001-08-01"
@@ -175,10 +176,13 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
         self.raw = {}
+        self.latest = None
 
     def table(self, name: str) -> DataFrame:
         if name not in self.raw:
-            self.raw[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            # the sample files hold a single row group each
+            self.raw[name] = spread(df, "l_orderkey") if name == "lineitem" else df
         return self.raw[name]
 
     def sql(self, text: str) -> DataFrame:

@@ -72,7 +72,9 @@ def _core(attrs: DataFrame, *cols: str) -> DataFrame:
 
 
 def _ref(d: Domain) -> date:
-    return ref_date(d.tx, "trans_date")
+    if d.latest is None:
+        d.latest = ref_date(d.tx, "trans_date")
+    return d.latest
 
 
 def _seed(d: Domain, fact=None, **kw) -> DataFrame:
