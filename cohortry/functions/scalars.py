@@ -156,17 +156,20 @@ def month_filter(col: Column | str, include: Sequence[int] | None = None,
 
 
 # --- text --------------------------------------------------------------------------------------
-def keyword_match(cols: Sequence[Column | str], keywords: Sequence[str]) -> Column:
+def keyword_match(cols: Sequence[Column | str], keywords: Sequence[str],
+                  upper: bool = True) -> Column:
     """True when any keyword occurs, ignoring case, in any of the columns.  Never NULL.
 
-    Keywords are literal text: ``%``, ``_`` and quotes have no special meaning.
+    Keywords are literal text: ``%``, ``_`` and quotes have no special meaning.  ``upper=False`` says
+    the columns are in upper case already.
     """
     if not keywords:
         return F.lit(False)
     # the whole OR per column sits under one coalesce, so a NULL column simply does not match
     per_col = [
         F.coalesce(reduce(lambda a, b: a | b,
-                          [F.upper(as_col(c)).contains(k.upper()) for k in keywords]),
+                          [(F.upper(as_col(c)) if upper else as_col(c)).contains(k.upper())
+                           for k in keywords]),
                    F.lit(False))
         for c in cols]
     return reduce(lambda a, b: a | b, per_col)

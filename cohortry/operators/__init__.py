@@ -8,6 +8,7 @@ from .incremental import (DuplicateKeys, merge_partitions, newer_than, require_u
 from .joins import (active_ids, broadcast_if_small, label_membership, latest_version, left_enrich, membership,
                     recent_ids, small_rows)
 from .materialise import materialise, scratch_path, shared_dir
+from .months import MONTH, month_text, prune_months, with_month
 from .quality import expr_true, not_null, report, unique, unique_combo
 from .sets import cohort_except, cohort_intersect, cohort_union
 from .skew import hot_key_hashes, is_hot, split_hot

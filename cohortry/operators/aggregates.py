@@ -53,7 +53,8 @@ def _summarise_grouped(df, keys, metrics, mode_cols, distinct_cols, list_cols):
 
 def _summarise_spread(df, keys, metrics, mode_cols, distinct_cols, list_cols):
     """Same result for groups too large for one task: counts per (group, field, value) first."""
-    base = df.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()])
+    base = df.select(*keys).distinct() if not metrics else \
+        df.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()])
     fields = list(dict.fromkeys([*mode_cols.values(), *distinct_cols, *list_cols]))
     if not fields:
         return base

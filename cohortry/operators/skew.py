@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_MIN_ROWS = 1_000_000
-HOT_SHARE = 1 / 10_000
-HOT_MAX_KEYS = 1_000
-SKETCH_ITEMS = 65_536
+HOT_SHARE = 1 / 50_000
+HOT_MAX_KEYS = 5_000
+SKETCH_ITEMS = 262_144
 
 
 def key_hash(keys: Sequence[str]) -> Column:

@@ -25,7 +25,7 @@ def top_n(df: DataFrame, score: str, tiebreak: str, n: int,
     if n <= take_ordered_limit:
         return df.orderBy(*order).limit(n)
     stored = ranked(df, score, tiebreak)
-    place = locate(stored, n)
+    place = locate(range_sizes(stored), n)
     if place is None:
         return stored.drop("_part")
     boundary, left = place
@@ -40,14 +40,18 @@ def ranked(df: DataFrame, score: str, tiebreak: str) -> DataFrame:
     return materialise(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
 
 
-def locate(stored: DataFrame, n: int) -> tuple[int, int] | None:
+def range_sizes(stored: DataFrame) -> list[tuple[int, int]]:
+    """(range, rows) in rank order: one pair per stored range."""
+    return sorted((r["_part"], r["count"]) for r in stored.groupBy("_part").count().collect())
+
+
+def locate(ranges: Sequence[tuple[int, int]], n: int) -> tuple[int, int] | None:
     """(range, position within it) of the ``n``-th ranked row; ``None`` if there are fewer rows."""
-    sizes = stored.groupBy("_part").count().collect()  # one number per range
     left = n
-    for size in sorted(sizes, key=lambda r: r["_part"]):
-        if size["count"] >= left:
-            return size["_part"], left
-        left -= size["count"]
+    for part, count in ranges:
+        if count >= left:
+            return part, left
+        left -= count
     return None
 
 
@@ -58,9 +62,9 @@ def size_band(stored: DataFrame, score: str, tiebreak: str, sizes: Sequence[int]
     comparing with those members.  The tiebreak must be unique.
     """
     order = [F.col(score).desc_nulls_last(), F.col(tiebreak).asc()]
-    band = F.lit(len(sizes))
+    band, ranges = F.lit(len(sizes)), range_sizes(stored)
     for i, n in reversed(list(enumerate(sizes))):
-        place = locate(stored, n)
+        place = locate(ranges, n)
         if place is None:
             band = F.lit(i)
             continue

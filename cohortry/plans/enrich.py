@@ -61,15 +61,16 @@ def enrich_transactions(tx: DataFrame, card: DataFrame, merchant: DataFrame, tag
                         taxonomy: DataFrame, location: DataFrame,
                         control: DataFrame | None = None, exposed: DataFrame | None = None,
                         start=None, end=None, since=None, id_col: str = "individual_id",
-                        dedupe_tags: bool = False, salt_hot: bool = False,
+                        dedupe_tags: bool = False, salt_from: int | None = None,
                         broadcast_terminals: int = BROADCAST_TERMINALS) -> DataFrame:
     """Transactions with card, merchant, brand, location and experiment attributes (35 columns).
 
     Run modes: ``start``/``end`` (inclusive back-fill), ``since`` (rows after a date: incremental),
     neither (full).  One terminal may carry several brand tags; each gives a row unless
     ``dedupe_tags`` keeps the lowest.  ``broadcast_terminals`` bounds the terminal dimension that may
-    be broadcast, 0 to leave the choice to Spark.  ``salt_hot`` finds terminals and cards that hold a large share
-    of the rows and spreads them; without it AQE's skew-join splitting does that at run time.
+    be broadcast, 0 to leave the choice to Spark.  ``salt_from`` finds cards
+    and terminals with at least that many rows and deals those rows out to many tasks; without it
+    AQE's skew-join splitting does so at run time.
     """
     rows = tx.where(F.col("trans_date").isNotNull())
     if start is not None and end is not None:
@@ -82,15 +83,15 @@ def enrich_transactions(tx: DataFrame, card: DataFrame, merchant: DataFrame, tag
                        "membccid", F.col("mtid").alias("_terminal"))
     hot_cards: Sequence[int] = ()
     hot_terminals: Sequence[int] = ()
-    if salt_hot:
-        hot_cards = hot_key_hashes(rows, ["membccid"])
-        hot_terminals = hot_key_hashes(rows, ["_terminal"])
+    if salt_from is not None:
+        hot_cards = hot_key_hashes(rows, ["membccid"], salt_from, share=0)
+        hot_terminals = hot_key_hashes(rows, ["_terminal"], salt_from, share=0)
     spread = ["txid", "trans_time"]
     out = left_enrich(rows, card_dimension(card, control, exposed, id_col), ["membccid"], spread,
                       hot_cards)
     terminals = broadcast_if_small(
         terminal_dimension(merchant, tagging, taxonomy, location, dedupe_tags),
-        0 if salt_hot else broadcast_terminals)
+        broadcast_terminals if salt_from is None else 0)
     out = left_enrich(out, terminals, ["_terminal"], spread, hot_terminals)
     return out.select(
         "txid", "trans_date", "trans_time", "trans_time_zone", "trans_amount",

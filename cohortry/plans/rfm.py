@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions import codes, ratio
+from cohortry.operators import prune_months, windowed_aggs
 from cohortry.operators import ref_date as latest_date
-from cohortry.operators import windowed_aggs
 
 
 def rfm_features(fact: DataFrame, ref_date: date | None = None,
@@ -26,6 +26,7 @@ def rfm_features(fact: DataFrame, ref_date: date | None = None,
     if ref is None:  # an empty fact has no reference date and no features
         ref, fact = date(1970, 1, 1), fact.limit(0)
     widest = max(windows)
+    fact = prune_months(fact, ref, ref, months_back=widest)
     base = windowed_aggs(fact, id_col, date_col, amount, ref, windows,
                          online=F.col(channel) == "ONLINE", brand=brand)
     return base.select(

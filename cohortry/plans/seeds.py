@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions import codes, keyword_match, month_filter
-from cohortry.operators import ids_with_min_rows, recent_ids, ref_date
+from cohortry.operators import ids_with_min_rows, prune_months, recent_ids, ref_date
 
 NAME_COLUMNS = ("merchant_description", "store_name", "brand_name")
 
@@ -25,7 +25,8 @@ def brand_rows(fact: DataFrame, keywords: Sequence[str], ref: date, lookback_mon
     """Transactions with the brand in ``[ref - lookback, ref]`` that pass the calendar filters."""
     d = F.col(date_col)
     end = F.lit(ref).cast("date")
-    rows = fact.where((d >= F.add_months(end, -lookback_months)) & (d < F.date_add(end, 1)))
+    rows = prune_months(fact, ref, ref, months_back=lookback_months) \
+        .where((d >= F.add_months(end, -lookback_months)) & (d < F.date_add(end, 1)))
     if include_months or exclude_months or exclude_range:
         rows = rows.where(month_filter(d, include_months, exclude_months, exclude_range))
     if channel:

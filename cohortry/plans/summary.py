@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators import hot_key_hashes, newer_than, summarise
+from cohortry.operators import hot_key_hashes, newer_than, prune_months, summarise
 
 LIST_COLUMNS = ["merchant_description", "merchant_category_code", "merchant_city",
                 "merchant_state", "merchant_zip", "merchant_country", "store_name", "brand_name",
@@ -33,15 +33,16 @@ def amount_metrics(amount: str = "trans_amount") -> dict:
 
 
 def daily_summary(fact: DataFrame, since=None, id_col: str = "individual_id",
-                  hot: Sequence[int] | str = ()) -> DataFrame:
+                  hot: Sequence[int] | str = "detect") -> DataFrame:
     """One row per (trans_date, person): 35 columns of totals, modes, lists and distinct counts.
 
-    ``since`` keeps only later dates (incremental run).  ``hot="detect"`` looks for groups that hold
-    a large share of the rows and aggregates those value by value.
+    ``since`` keeps only later dates (incremental run).  By default a narrow pass looks for groups
+    that hold a large share of the rows; those are aggregated value by value, the others in one step.
+    ``hot`` can name the groups' hashes instead, or be empty when there are none.
     """
     rows = fact.where(F.col(id_col).isNotNull())
     if since is not None:
-        rows = newer_than(rows, "trans_date", since)
+        rows = newer_than(prune_months(rows, since), "trans_date", since)
     keys = ["trans_date", id_col]
     if hot == "detect":
         hot = hot_key_hashes(rows, keys)

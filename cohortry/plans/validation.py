@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortry.functions import in_range, keyword_match, ratio
-from cohortry.operators import latest_version, materialise, ranked, size_band
+from cohortry.operators import (latest_version, materialise, prune_months, ranked, size_band)
 
 NAME_COLUMNS = ("brand_name", "store_name", "merchant_description")
 #: distinct (window, keywords) pairs evaluated in one pass over the fact
@@ -49,6 +49,7 @@ def person_measures(fact: DataFrame, measures: Sequence[tuple], id_col: str = "i
     """
     windows = sorted({(s, e) for s, e, _ in measures})
     inside = {w: in_range("trans_date", *w) for w in windows}
+    fact = prune_months(fact, min(s for s, _ in windows), max(e for _, e in windows))
     rows = fact.where(reduce(lambda a, b: a | b, inside.values()))
     aggs = [F.count_if(inside[w]).alias(f"_act{i}") for i, w in enumerate(windows)]
     for j, (start, end, keywords) in enumerate(measures):
@@ -56,9 +57,12 @@ def person_measures(fact: DataFrame, measures: Sequence[tuple], id_col: str = "i
         aggs += [F.count_if(hit).alias(f"_rows{j}"),
                  F.count(F.when(hit, F.col("txid"))).alias(f"_tx{j}"),
                  F.sum(F.when(hit, F.col("trans_amount"))).alias(f"_spend{j}")]
-    flags = [keyword_match(name_cols, keywords).alias(f"_hit{j}")
-             for j, (_, _, keywords) in enumerate(measures)]
-    rows = rows.select(id_col, "trans_date", "txid", "trans_amount", *flags)
+    # names are put in upper case once per row, whatever the number of keywords
+    kept = [id_col, "trans_date", "txid", "trans_amount"]
+    rows = rows.select(*kept, *[F.upper(c).alias(f"_u{i}") for i, c in enumerate(name_cols)])
+    names = [f"_u{i}" for i in range(len(name_cols))]
+    rows = rows.select(*kept, *[keyword_match(names, keywords, upper=False).alias(f"_hit{j}")
+                                for j, (_, _, keywords) in enumerate(measures)])
     return rows.groupBy(id_col).agg(*aggs), {w: i for i, w in enumerate(windows)}
 
 

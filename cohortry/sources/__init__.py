@@ -3,4 +3,4 @@
 from .config import audience_config, load_audiences, merge_defaults
 from .files import (CSV, TSV, list_files, load, load_report, read_delimited, read_parquet_by_name,
                     read_tolerant, row_counts, spread, with_load_ts)
-from .tables import save_table, write_csv, write_table
+from .tables import save_bucketed, save_table, write_csv, write_table

@@ -533,7 +533,7 @@ ORACLES: dict[str, str] = {
     "enrich": fact_row(), "enrich_salted": fact_row(),
     "enrich_batch": fact_row("trans_date BETWEEN DATE '2001-01-01' AND DATE '2001-01-31'"),
     "experiment_group": attr_row("experiment_group"),
-    "daily_summary": daily_summary(), "daily_summary_detect": daily_summary(),
+    "daily_summary": daily_summary(), "daily_summary_spread": daily_summary(),
     "daily_mode": f"WITH {FACT}, {_mode('trans_time_zone')}, {_mode('brand_name')} SELECT "
                   f"{text('trans_date')}, individual_id, transaction_count, trans_time_zone, "
                   "brand_name AS top_brand FROM (SELECT trans_date, individual_id, count(*) AS "
@@ -635,6 +635,8 @@ ORACLES: dict[str, str] = {
     "semi_active": f"WITH {FACT} SELECT CAST(c_custkey AS VARCHAR) AS individual_id FROM customer "
                    "WHERE CAST(c_custkey AS VARCHAR) IN (SELECT individual_id FROM known WHERE "
                    f"trans_date >= DATE '{D0}' AND trans_date < DATE '{D1}')",
+    "count_ids": f"WITH {FACT} SELECT count(DISTINCT individual_id) AS online_people FROM fact WHERE "
+                 f"{ONLINE} AND trans_date >= DATE '{D0}' AND trans_date < DATE '{D1}'",
     "cohort_union": cohorts("UNION"), "cohort_intersect": cohorts("INTERSECT"),
     "cohort_except": cohorts("EXCEPT"),
     "dq_unique": f"WITH {FACT} SELECT txid, count(*) AS n FROM fact GROUP BY txid HAVING count(*) > 1",

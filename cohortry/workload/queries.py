@@ -17,8 +17,9 @@ from cohortry import schemas
 from cohortry.functions import (codes, in_range, keyword_match, likely, map_text, month_filter,
                                 normalise, split_list, tag_array)
 from cohortry.operators import (active_ids, category_importance, category_shares, cohort_except,
-                                cohort_intersect, cohort_union, distinct_rows, expr_true,
-                                label_membership, latest_version, materialise, not_null,
+                                cohort_intersect, cohort_union, count_distinct_ids,
+                                distinct_rows, expr_true,
+                                hot_key_hashes, label_membership, latest_version, materialise, not_null,
                                 numeric_profile, ref_date, report, scratch_path, since_high_water,
                                 summarise, top_n, unique, unique_combo, upsert, window_diversity)
 from cohortry.plans import (audiences_from, daily_summary, enrich_transactions, household_rollup,
@@ -154,7 +155,8 @@ def enrich(d):
 
 
 def enrich_salted(d):
-    return _fact(d, salt_hot=True)
+    """Cards and terminals with many rows are dealt out to many tasks."""
+    return _fact(d, salt_from=45)
 
 
 def enrich_batch(d):
@@ -167,11 +169,14 @@ def experiment_group(d):
 
 
 def q_daily_summary(d):
-    return daily_summary(_fact(d))
+    return daily_summary(materialise(_fact(d)))
 
 
-def daily_summary_detect(d):
-    return daily_summary(_fact(d), hot="detect")
+def daily_summary_spread(d):
+    """The largest groups are aggregated value by value, as groups too large for one task would be."""
+    fact = materialise(_fact(d))
+    known = fact.where(F.col(ID).isNotNull())
+    return daily_summary(fact, hot=hot_key_hashes(known, ["trans_date", ID], 8, share=0))
 
 
 def daily_mode(d):
@@ -201,9 +206,9 @@ def incremental_slice(d):
 def merge_upsert(d):
     """Summary up to a date, upserted with a later run that overlaps it by a month."""
     fact = _fact(d)
-    old = daily_summary(fact.where(F.col("trans_date") <= F.lit(MID))) \
+    old = daily_summary(fact.where(F.col("trans_date") <= F.lit(MID)), hot=()) \
         .withColumn("transaction_count", F.col("transaction_count") + 1000)
-    new = daily_summary(fact, since=date(2001, 2, 28))
+    new = daily_summary(fact, since=date(2001, 2, 28), hot=())
     cols = ["trans_date", ID, "transaction_count", "total_transaction_amount"]
     return upsert(old.select(*cols), new.select(*cols), ["trans_date", ID])
 
@@ -464,6 +469,11 @@ def semi_active(d):
     return active_ids(_fact(d), d.spine, ID, "trans_date", *HOLDOUT)
 
 
+def count_ids(d):
+    online = in_range("trans_date", *HOLDOUT) & (F.col("transaction_channel") == "ONLINE")
+    return count_distinct_ids(_fact(d), ID, online, "online_people")
+
+
 def _cohorts(d):
     fact = _fact(d)
     summer = seed_ids(fact, ["RING"], date(2001, 7, 31), 3)
@@ -568,7 +578,7 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "audience_config": audience_config,
     "enrich": enrich, "enrich_salted": enrich_salted, "enrich_batch": enrich_batch,
     "experiment_group": experiment_group, "daily_summary": q_daily_summary,
-    "daily_summary_detect": daily_summary_detect, "daily_mode": daily_mode,
+    "daily_summary_spread": daily_summary_spread, "daily_mode": daily_mode,
     "distinct_lists": distinct_lists, "distinct_rows": q_distinct_rows,
     "incremental_slice": incremental_slice, "merge_upsert": merge_upsert,
     "holdout_filter": holdout_filter, "brand_filter": brand_filter, "ref_date": q_ref_date,
@@ -594,7 +604,7 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "top_n_ranges": top_n_ranges,
     "latest_version": q_latest_version, "audience_validation": audience_validation,
     "validation_by_seed": validation_by_seed, "reach_curve": q_reach_curve,
-    "run_delta": q_run_delta, "semi_active": semi_active, "cohort_union": q_cohort_union,
+    "run_delta": q_run_delta, "semi_active": semi_active, "count_ids": count_ids, "cohort_union": q_cohort_union,
     "cohort_intersect": q_cohort_intersect, "cohort_except": q_cohort_except,
     "dq_unique": dq_unique, "dq_not_null": dq_not_null, "dq_unique_combo": dq_unique_combo,
     "dq_expression": dq_expression, "dq_report": dq_report,
