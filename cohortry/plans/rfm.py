@@ -38,7 +38,10 @@ def rfm_features(fact: DataFrame, ref_date: date | None = None,
 
 
 def rfm_segments(rfm: DataFrame, id_col: str = "individual_id") -> DataFrame:
-    """Trend, cadence class and channel mix read off the features."""
+    """Trend, cadence class and channel mix read off the features.
+
+    A cadence of 30 to 60 days belongs to no class.
+    """
     trend = ratio("tot_trans_3mo", "tot_trans_12mo")
     days = F.col("avg_days_btwn_trans_12mo")
     online = ratio("tot_online_trans_12mo", "tot_trans_12mo")
@@ -46,5 +49,5 @@ def rfm_segments(rfm: DataFrame, id_col: str = "individual_id") -> DataFrame:
         id_col, trend.alias("trend_ratio"),
         F.coalesce(trend > 0.4, F.lit(False)).alias("is_accelerating"),
         F.when(days < 7, "weekly").when(days < 30, "monthly").when(days > 60, "infrequent")
-         .when(days.isNotNull(), "regular").alias("cadence"),
+         .alias("cadence"),
         online.alias("online_ratio"))

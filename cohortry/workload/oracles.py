@@ -595,8 +595,8 @@ ORACLES: dict[str, str] = {
     "rfm_segments": f"WITH {FACT}, {_rfm()} SELECT individual_id, ROUND({TREND}, 6) AS trend_ratio, "
                     f"COALESCE({TREND} > 0.4, FALSE) AS is_accelerating, CASE WHEN "
                     "avg_days_btwn_trans_12mo < 7 THEN 'weekly' WHEN avg_days_btwn_trans_12mo < 30 "
-                    "THEN 'monthly' WHEN avg_days_btwn_trans_12mo > 60 THEN 'infrequent' WHEN "
-                    "avg_days_btwn_trans_12mo IS NOT NULL THEN 'regular' END AS cadence, "
+                    "THEN 'monthly' WHEN avg_days_btwn_trans_12mo > 60 THEN 'infrequent' END AS "
+                    "cadence, "
                     "ROUND(CAST(tot_online_trans_12mo AS DOUBLE) / NULLIF(tot_trans_12mo, 0), 6) "
                     "AS online_ratio FROM rfm",
     "seed_ids": f"WITH {FACT} {seed()}",
