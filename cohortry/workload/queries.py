@@ -225,7 +225,7 @@ def brand_filter(d):
 
 
 def q_ref_date(d):
-    return d.spark.createDataFrame([(_ref(d),)], "ref_date date")
+    return d.tx.agg(F.max("trans_date").alias("ref_date"))
 
 
 def normalise_values(d):
@@ -457,8 +457,7 @@ def q_reach_curve(d):
 
 def q_run_delta(d):
     """Validation with version 1 members against validation with the latest version."""
-    audiences, fact = audiences_from(_audiences(d)), materialise(
-        _fact(d, start="2001-06-01", end="2001-07-31"))
+    audiences, fact = audiences_from(_audiences(d)), materialise(_fact(d))
     first = d.metadata.where("ver = 1")
     metrics = ["total_lal_ids", "active_matched_ids", "brand_shoppers", "brand_spend", "shop_rate"]
     runs = [validate_audiences(d.spark, audiences, d.lookup, m, fact) for m in (first, d.metadata)]
