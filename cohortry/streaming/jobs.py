@@ -69,13 +69,18 @@ def daily_stream(stream: DataFrame, ts: str, id_col: str, value: str,
                  delay: str = "2 days") -> DataFrame:
     """Daily totals per id; a day is final once the watermark has passed it.
 
-    Rows up to ``delay`` late still count, unlike a slice by highest date.
+    Rows up to ``delay`` late still count, unlike a slice by highest date.  Days are UTC days, and
+    times without a zone are taken as UTC, whatever the session's time zone.
     """
-    return (stream.withColumn(ts, as_col(ts).cast("timestamp")).withWatermark(ts, delay)
+    when = as_col(ts)
+    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
+        when = F.concat(when.cast("string"), F.lit("Z")).cast("timestamp")
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("_w.start") / 86_400).cast("int"))
+    return (stream.withColumn(ts, when).withWatermark(ts, delay)
             .groupBy(F.window(ts, "1 day").alias("_w"), id_col)
             .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum(value).alias("total_amount"),
                  F.min(value).alias("min_amount"), F.max(value).alias("max_amount"))
-            .select(F.col("_w.start").cast("date").alias("day"), id_col, "transaction_count",
+            .select(day.alias("day"), id_col, "transaction_count",
                     "total_amount", "min_amount", "max_amount"))
 
 
