@@ -31,11 +31,12 @@ def small(df: DataFrame, rows: int) -> bool:
 
 
 def lookup_join(big: DataFrame, table: DataFrame, keys: list[str], broadcast_rows: int,
-                spread: int = 32) -> DataFrame:
+                spread: int = 32, whole: DataFrame | None = None) -> DataFrame:
     """Left join of ``big`` with a table of one row per key, NULL keys equal.
 
-    The table is broadcast after a count shows at most ``broadcast_rows`` rows.  Beyond that both sides
-    are dealt out by key and a salt, so a key with a third of the rows meets in ``spread`` tasks.
+    The table is broadcast after a count shows at most ``broadcast_rows`` rows (of ``whole`` where its
+    rows hold arrays).  Beyond that both sides are dealt out by key and a salt, so a key with a third of
+    the rows meets in ``spread`` tasks.
     """
     def on(a, b, names):
         cond = F.lit(True)
@@ -44,7 +45,7 @@ def lookup_join(big: DataFrame, table: DataFrame, keys: list[str], broadcast_row
         return cond
     renamed = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     drop = [f"_k_{k}" for k in keys]
-    if small(table, broadcast_rows):
+    if small(table if whole is None else whole, broadcast_rows):
         right = F.broadcast(renamed)
         return big.join(right, on(big, right, keys), "left").drop(*drop)
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import decontamination, mixing, quality, sharding
 from .common import read
 
 QUERIES = {
+    "op1_kd_sharding": lambda spark, d: sharding.op1(read(spark, d, "documents")),
+    "op8_decontamination": lambda spark, d: decontamination.op8(
+        read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op9_quality_rules": lambda spark, d: quality.op9(read(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.op10(read(spark, d, "documents")),
 }
 
-ORACLES = {"op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL}
+ORACLES = {"op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL}
