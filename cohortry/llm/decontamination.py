@@ -44,8 +44,10 @@ def shingled(df: DataFrame, text: str) -> DataFrame:
 def simhash(grams: Column) -> Column:
     """64-bit SimHash: bit b is set where more than half of the shingle hashes have it.  Bits b, b + 16,
     b + 32 and b + 48 are counted in the four quarters of one long, so for up to 65,535 shingles."""
-    sums = F.array(*[F.aggregate(grams, F.lit(0).cast("long"), lambda a, x, b=b: a + F.shiftrightunsigned(
-        x, b).bitwiseAND(F.lit(_LANES))) for b in range(16)])
+    def lane(b):
+        return F.aggregate(grams, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(
+            x, b).bitwiseAND(F.lit(_LANES)))
+    sums = F.array(*[lane(b) for b in range(16)])
 
     def bit(total, b, k):
         count = F.shiftrightunsigned(total, 16 * k).bitwiseAND(F.lit(0xFFFF))
@@ -90,8 +92,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
     keyed = docs.withColumn("_key", F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))).withColumn(
         "_key2", F.xxhash64(F.lit(2), F.coalesce("text", F.lit(""))))
     grams = shingled(keyed, "text")
+    # outer, as the plain form adds a filter that computes the shingles a second time; NULLs join nothing
     wanted = items.select(F.explode("_g").alias("_x"), "m").distinct()
-    starts = materialise(grams.select("_key", "_key2", F.posexplode("_g").alias("_at", "_x")).join(
+    starts = materialise(grams.select("_key", "_key2", F.posexplode_outer("_g").alias("_at", "_x")).join(
         maybe(wanted), "_x").groupBy("_key", "_key2").agg(
             F.collect_set(F.struct("_at", "m")).alias("_starts")))
     found = lookup_join(grams.select("doc_id", "_key", "_key2", "_g"), starts, ["_key", "_key2"],
@@ -159,12 +162,12 @@ wg AS (
 ic AS (SELECT iid, g, count(*) AS c FROM ig GROUP BY ALL),
 isum AS (SELECT iid, sum(c) AS n FROM ic GROUP BY iid),
 pairs AS (
-  SELECT rid, start, w.iid, sum(least(w.c, coalesce(i.c, 0))) AS both, sum(w.c) AS n
+  SELECT rid, start, w.iid, sum(least(w.c, coalesce(i.c, 0))) AS shared, sum(w.c) AS n
   FROM wg w LEFT JOIN ic i ON i.iid = w.iid AND i.g = w.g GROUP BY ALL),
 found AS (
-  SELECT rid, doc_id, item_id, start, both / (p.n + s.n - both) AS similarity
+  SELECT rid, doc_id, item_id, start, shared / (p.n + s.n - shared) AS similarity
   FROM pairs p JOIN isum s USING (iid) JOIN iw USING (iid) JOIN dw USING (rid)
-  WHERE both * 100 >= (p.n + s.n - both) * {PERCENT})"""
+  WHERE shared * 100 >= (p.n + s.n - shared) * {PERCENT})"""
 
 
 SQL = sql() + """
