@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# functions that run in tasks travel with the job, wherever the executors' working folder is
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 GAP = r"[\x20\x09-\x0D]+"
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, quality, sharding
+from . import decontamination, mixing, neardup, quality, sharding
 from .common import read
 
 QUERIES = {
     "op1_kd_sharding": lambda spark, d: sharding.op1(read(spark, d, "documents")),
+    "op5_odd_sketches": lambda spark, d: neardup.op5(read(spark, d, "documents")),
     "op8_decontamination": lambda spark, d: decontamination.op8(
         read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op9_quality_rules": lambda spark, d: quality.op9(read(spark, d, "documents")),
