@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, neardup, quality, sharding
+from . import decontamination, mixing, neardup, quality, sharding, substrings
 from .common import read
 
 QUERIES = {
     "op1_kd_sharding": lambda spark, d: sharding.op1(read(spark, d, "documents")),
+    "op4_relative_lz": lambda spark, d: substrings.op4(read(spark, d, "documents")),
     "op5_odd_sketches": lambda spark, d: neardup.op5(read(spark, d, "documents")),
     "op8_decontamination": lambda spark, d: decontamination.op8(
         read(spark, d, "documents"), read(spark, d, "benchmark")),
@@ -14,4 +15,4 @@ QUERIES = {
     "op10_mixing": lambda spark, d: mixing.op10(read(spark, d, "documents")),
 }
 
-ORACLES = {"op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL}
+ORACLES = {"op4_relative_lz": substrings.SQL, "op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL}
