@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, neardup, quality, sharding, substrings
+from . import (decontamination, language, mixing, neardup, quality, sharding, substrings,
+               toxicity)
 from .common import read
 
 QUERIES = {
     "op1_kd_sharding": lambda spark, d: sharding.op1(read(spark, d, "documents")),
+    "op2_language": lambda spark, d: language.op2(read(spark, d, "documents")),
     "op4_relative_lz": lambda spark, d: substrings.op4(read(spark, d, "documents")),
     "op5_odd_sketches": lambda spark, d: neardup.op5(read(spark, d, "documents")),
+    "op7_toxicity": lambda spark, d: toxicity.op7(
+        read(spark, d, "documents"), read(spark, d, "labels")),
     "op8_decontamination": lambda spark, d: decontamination.op8(
         read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op9_quality_rules": lambda spark, d: quality.op9(read(spark, d, "documents")),
