@@ -97,9 +97,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
     starts = materialise(grams.select("_key", "_key2", F.posexplode_outer("_g").alias("_at", "_x")).join(
         maybe(wanted), "_x").groupBy("_key", "_key2").agg(
             F.collect_set(F.struct("_at", "m")).alias("_starts")))
-    found = lookup_join(grams.select("doc_id", "_key", "_key2", "_g"), starts, ["_key", "_key2"],
-                        broadcast_rows, whole=starts.select(F.explode("_starts"))
-                        ).where("_starts is not null")
+    found = shingled(lookup_join(keyed.select("doc_id", "text", "_key", "_key2"), starts, ["_key", "_key2"],
+                                 broadcast_rows, whole=starts.select(F.explode("_starts"))
+                                 ).where("_starts is not null"), "text")
     windows = found.select("doc_id", "_key", "_key2", "_g", F.explode("_starts").alias("_s")).select(
         "doc_id", "_key", "_key2", F.col("_s._at").alias("start"), F.col("_s.m").alias("m"),
         F.slice("_g", F.col("_s._at") + 1, F.greatest(F.col("_s.m") - (SHINGLE - 1), F.lit(1))).alias("_w"))
