@@ -26,7 +26,7 @@ from cohortry.operators import materialise
 LABELLED = 20_000
 LEXICON = 3_000
 SUPPORT = 6
-STEMS = (5, 7)  # letters of a word that may stand for all words beginning so
+STEMS = (4, 5, 6, 7)  # letters of a word that may stand for all words beginning so
 
 # Closed word classes in English, German, French and Spanish.
 TARGET = set("you your yours yourself u du dich dir dein deine ihr euch euer tu te toi ton ta vous votre "
