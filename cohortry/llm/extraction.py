@@ -3,8 +3,8 @@
 A page is cut into blocks at block-level tags.  Each block has a region: navigation, advert, form and the
 like (by tag, role, class or id), the article, or neither.  The token streams of the pages of a host are
 concatenated; a suffix array of them, sorted to ``REPEAT`` tokens, shows every run of that many tokens that
-stands on two pages or more.  Such a run is boilerplate unless most of the pages that have it have it
-inside an article: articles may quote each other, and a quotation stays.  Boilerplate tokens go, blocks of
+stands on two pages or more.  Such a run is boilerplate unless one of these pages has it inside an article:
+articles quote each other, and adverts quote articles, so that what an article says stays.  Boilerplate tokens go, blocks of
 the first kind go, and of the rest the article is kept, or everything where a page marks none.
 
 Pages are dealt out by host and, for a host with more text than one task should hold, by a hash of the
@@ -102,10 +102,10 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, region: np.ndarray,
+def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, block: np.ndarray, region: np.ndarray,
              length: int = REPEAT) -> np.ndarray:
-    """Which tokens lie in a boilerplate run.  The arrays give hash, host, page and region of each token
-    of the concatenated streams; a run must lie within one page."""
+    """Which tokens lie in a boilerplate run.  The arrays give hash, host, page, block and region of each
+    token of the concatenated streams; a run must lie within one block."""
     n = len(tokens)
     covered = np.zeros(n, dtype=bool)
     if n < 2 * length:
@@ -119,7 +119,7 @@ def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, region: np.
         rank = np.unique(rank.astype(np.int64) * (n + 1) + follow + 1, return_inverse=True)[1]
         depth += step
     whole = np.zeros(n, dtype=bool)
-    whole[:n - length + 1] = page[:n - length + 1] == page[length - 1:]
+    whole[:n - length + 1] = block[:n - length + 1] == block[length - 1:]
     suffixes = np.flatnonzero(whole)
     order = suffixes[np.lexsort((page[suffixes], rank[suffixes]))]  # the suffix array
     r, p = rank[order], page[order]
@@ -128,7 +128,7 @@ def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, region: np.
     run = np.cumsum(new_run) - 1
     pages = np.bincount(run, weights=new_page)
     inside = np.bincount(run, weights=new_page & (region[order] == ARTICLE))
-    bad = order[((pages >= 2) & (2 * inside <= pages))[run]]
+    bad = order[((pages >= 2) & (inside == 0))[run]]
     edge = np.zeros(n + 1, dtype=np.int64)
     np.add.at(edge, bad, 1)
     np.add.at(edge, bad + length, -1)
@@ -146,7 +146,7 @@ def _extract(table: pa.Table) -> pa.Table:
     page = np.repeat(np.array([i for i, _, _ in flat], dtype=np.int64), size)
     region = np.repeat(np.array([r for _, _, r in flat], dtype=np.int64), size)
     host = np.array(hosts, dtype=np.int64)[page] if len(page) else page
-    covered = repeated(tokens, host, page, region)
+    covered = repeated(tokens, host, page, np.repeat(np.arange(len(flat)), size), region)
     marked = {i for i, _, r in flat if r == ARTICLE}
     kept: list[list[str]] = [[] for _ in pages]
     for (i, text, r), lo, hi in zip(flat, at[:-1], at[1:]):

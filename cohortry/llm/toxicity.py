@@ -134,7 +134,7 @@ def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> dict[str, float]:
     # rarer words must be cleaner: a lower bound on the log ratio
     sure = ratio - 1.5 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     best = counts.where((F.col("t") >= SUPPORT) & F.col("entry").isNotNull()).select(
-        "entry", "t", ratio.alias("ratio")).where((sure > 0.5) & (ratio > 2.5))
+        "entry", "t", ratio.alias("ratio")).where((sure > 0.5) & (ratio > 1.8))
     return {r["entry"]: r["ratio"] for r in best.orderBy(F.desc("t"), "entry").limit(size).collect()}
 
 
