@@ -127,7 +127,7 @@ def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, block: np.n
     new_page = new_run | np.concatenate(([True], p[1:] != p[:-1]))
     run = np.cumsum(new_run) - 1
     pages = np.bincount(run, weights=new_page)
-    inside = np.bincount(run, weights=new_page & (region[order] == ARTICLE))
+    inside = np.bincount(run, weights=region[order] == ARTICLE)
     bad = order[((pages >= 2) & (inside == 0))[run]]
     edge = np.zeros(n + 1, dtype=np.int64)
     np.add.at(edge, bad, 1)
