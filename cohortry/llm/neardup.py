@@ -10,9 +10,10 @@ steps, so that a bucket of m texts does not give m^2 pairs:
 
 1. every text of a bucket against the two texts of least and greatest hash in it; verified links give
    components;
-2. in buckets that still hold several components, every pair from two components whose sketches pass,
-   each pair once, in the first band it shares.  After this no meeting pair is left unchecked, for pairs
-   within one component cannot change the result.
+2. all buckets with the same least text form a group.  Groups that still hold several components are cut
+   into chunks, and one task takes two chunks: it compares sketches and then full sets of all pairs from
+   different components, and returns the links that join components.  After this no meeting pair is left
+   unchecked, for pairs within one component cannot change the result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ SKETCH_BITS = 1024
 PERCENT = 80
 #: Estimates at similarity 0.8 deviate by 0.028; pairs estimated 4 deviations lower are still compared.
 ESTIMATE = 0.69
+CHUNK = 512
 
 
 def differing_bits(similarity: float) -> int:
@@ -123,15 +125,84 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``cid, set`` of the classes in ``pairs``, from one of their texts each."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(
-        classes.select("cid", "t1", "t2"), "cid")
+def _full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """``cid, set`` of the classes in ``ids``, from one of their texts each."""
+    wanted = ids.distinct().join(classes.select("cid", "t1", "t2"), "cid")
     texts = text_keys(docs.select("text")).join(wanted, ["t1", "t2"]).groupBy("cid").agg(
         F.first("text").alias("text"))
     return materialise(texts.mapInArrow(_sets, "cid long, set array<long>"))
 
 
+def _joining(table: pa.Table) -> pa.Table:
+    """Links between components among the texts of two chunks, as many as join them."""
+    own = {c: table.column(c).to_numpy() for c in ("cid", "root", "chunk", "i", "j")}
+    left, right = own["chunk"] == own["i"], own["chunk"] == own["j"]
+    out: list[tuple[int, int]] = []
+    if len(np.unique(own["root"])) > 1:
+        sketch = np.stack([np.array(x.as_py(), dtype=np.int64) for x in table.column("sketch")]).view(np.uint64)
+        sets = [x.values.to_numpy().view(np.uint64) for x in table.column("set")]
+        a, b = np.flatnonzero(left), np.flatnonzero(right)
+        near = own["root"][a][:, None] != own["root"][b][None, :]
+        apart = np.zeros(near.shape, dtype=np.int32)
+        for k in range(sketch.shape[1]):
+            apart += np.bitwise_count(sketch[a, k][:, None] ^ sketch[b, k][None, :])
+        near &= apart <= differing_bits(ESTIMATE)
+        a, b, near = a[near.any(axis=1)], b[near.any(axis=0)], near[near.any(axis=1)][:, near.any(axis=0)]
+        shared = _shared([sets[x] for x in a], [sets[x] for x in b])
+        size = np.array([len(x) for x in sets])
+        linked = near & (100 * shared >= PERCENT * (size[a][:, None] + size[b][None, :] - shared))
+        group = {r: r for r in own["root"].tolist()}
+
+        def find(r):
+            while group[r] != r:
+                group[r] = r = group[group[r]]
+            return r
+        for x, y in zip(*np.nonzero(linked)):
+            r, t = find(int(own["root"][a[x]])), find(int(own["root"][b[y]]))
+            if r != t:
+                group[r] = t
+                out.append((int(own["cid"][a[x]]), int(own["cid"][b[y]])))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``left`` with every set of ``right``."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    if not left or not right:
+        return out
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for i in range(0, len(common), 2048):  # a slice of the shingles that both sides have
+        part = common[i:i + 2048]
+        held = []
+        for side in (left, right):
+            m = np.zeros((len(side), len(part)), dtype=np.float32)
+            for row, s in enumerate(side):
+                lo, hi = np.searchsorted(s, [part[0], part[-1]], side="left")
+                inside = s[lo:hi + 1]
+                at = np.searchsorted(part, inside)
+                ok = at < len(part)
+                m[row, at[ok][part[at[ok]] == inside[ok]]] = 1
+            held.append(m)
+        out += (held[0] @ held[1].T).astype(np.int64)
+    return out
+
+
+def _joining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links ``a, b`` between texts of different components that meet in a bucket, enough to join these."""
+    group = members.select(F.col("lo").alias("c"), "cid").distinct().join(roots, "cid", "left").withColumn(
+        "root", F.coalesce("root", "cid"))
+    mixed = group.groupBy("c").agg(F.min("root").alias("x"), F.max("root").alias("y"),
+                                   F.count("*").alias("n")).where("x <> y").select(
+        "c", F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    todo = materialise(group.join(mixed, "c").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks"))))
+    whole = _full_sets(docs, classes, todo.select("cid")).join(classes.select("cid", "sketch"), "cid")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    dealt = todo.withColumn("o", other).select(
+        "c", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "cid", "root"
+    ).join(whole, "cid")
+    return dealt.groupBy("c", "i", "j").applyInArrow(_joining, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, t1, t2`` (hashes of the text), ``n`` (set size) and ``root``, the same for all texts of a
     component; NULL for a text without words, which is linked with nothing.
@@ -158,26 +229,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         star.join(light.withColumnsRenamed({"cid": "a"}), "a")
         .join(light.withColumnsRenamed({"cid": "b", "sketch": "sketch2"}), "b").where(_near())
         .select("a", "b"))
-    sets = _full_sets(docs, classes, first)
+    sets = _full_sets(docs, classes, first.select(F.col("a").alias("cid")).union(first.select("b")))
     links = materialise(_verified(first, sets))
     roots = connected_components(links)
-    # buckets with several components
-    labelled = members.select("v", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left"
-                                               ).withColumn("root", F.coalesce("root", "cid"))
-    mixed = labelled.groupBy("v").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    open_ = materialise(labelled.join(mixed.select("v"), "v").join(classes.select("cid", "bands", "sketch"),
-                                                                   "cid"))
-    other = open_.withColumnsRenamed({"cid": "cid2", "root": "root2", "bands": "bands2",
-                                      "sketch": "sketch2", "v": "v2"})
-    met = F.lit(BANDS)
-    for i in reversed(range(BANDS)):
-        met = F.when(F.get("bands", F.lit(i)) == F.get("bands2", F.lit(i)), i).otherwise(met)
-    here = F.array_position("bands", F.col("v")) - 1
-    rest = materialise(open_.join(other, (F.col("v") == F.col("v2")) & (F.col("cid") < F.col("cid2"))
-                                  & (F.col("root") != F.col("root2")) & _near() & (met == here))
-                       .select(F.col("cid").alias("a"), F.col("cid2").alias("b"))
-                       .join(first, ["a", "b"], "left_anti"))
-    more = materialise(_verified(rest, _full_sets(docs, classes, rest)))
+    light_roots = roots.withColumnRenamed("node", "cid")
+    more = materialise(_joining_links(docs, classes, members, light_roots))
     final = connected_components(links.union(more)).withColumnRenamed("node", "cid")
     named = classes.select("k1", "k2", "cid").join(final, "cid", "left").select(
         "k1", "k2", F.coalesce("root", "cid").alias("root"))
