@@ -75,6 +75,13 @@ def counted(grams: Column) -> Column:
         F.slice(grams, F.lit(1), i), lambda y: y == x))))
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key, _key2``, two hashes of the text; NULL counts as empty."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumn("_key", F.xxhash64(F.lit(1), text)).withColumn(
+        "_key2", F.xxhash64(F.lit(2), text))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``_key`` (hash of the text), ``doc_id, item_id, start, similarity`` of every matching window.
 
@@ -89,8 +96,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
 
     def maybe(df):
         return F.broadcast(df) if few else df
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))).withColumn(
-        "_key2", F.xxhash64(F.lit(2), F.coalesce("text", F.lit(""))))
+    keyed = with_keys(docs.select("doc_id", "text"))
     grams = shingled(keyed, "text")
     # outer, as the plain form adds a filter that computes the shingles a second time; NULLs join nothing
     wanted = items.select(F.explode("_g").alias("_x"), "m").distinct()
@@ -130,13 +136,11 @@ def op8(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a leak."""
+    """The documents without a leak, in their own columns."""
     bad = materialise(leaks(docs, benchmark).select("_key", "_key2").distinct().withColumn(
         "_bad", F.lit(True)))
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))).withColumn(
-        "_key2", F.xxhash64(F.lit(2), F.coalesce("text", F.lit(""))))
-    return lookup_join(keyed, bad, ["_key", "_key2"], 1_000_000).where("_bad is null").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    keyed = with_keys(docs.select(F.struct("*").alias("row"), "text")).drop("text")
+    return lookup_join(keyed, bad, ["_key", "_key2"], 1_000_000).where("_bad is null").select("row.*")
 
 
 def sql(source: str = "documents") -> str:

@@ -127,8 +127,7 @@ def op10(docs: DataFrame) -> DataFrame:
 def stage(docs: DataFrame) -> DataFrame:
     """Every document as often as the mix takes it: once per whole pass, and once more if the last pass
     reaches its first word.  Documents are not cut."""
-    own = [c for c in docs.columns]
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), "doc_id", "source",
+    sized = docs.select(F.struct("*").alias("_row"), "doc_id", "source",
                         word_count(F.col("text")).alias("size"))
     again = F.when(F.col("begin") < F.col("rest"), 1).otherwise(0)
     copies = mix(sized).withColumn("_times", (F.col("passes") + again).cast("int"))

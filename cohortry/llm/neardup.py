@@ -266,5 +266,8 @@ def stage(docs: DataFrame) -> DataFrame:
         keep.withColumnsRenamed({"t1": "_t1", "t2": "_t2"}),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_t1"))
         & (F.col("t2") == F.col("_t2")))
-    one = kept.groupBy("doc_id", "t1", "t2").agg(F.min("_rest").alias("_rest"))
-    return one.select("doc_id", "_rest.*").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # of repeated rows the least; any where a column has no order
+    kind = kept.schema["_rest"].dataType.simpleString()
+    pick = F.first if "map<" in kind or "variant" in kind else F.min
+    one = kept.groupBy("doc_id", "t1", "t2").agg(pick("_rest").alias("_rest"))
+    return one.select(*[F.col("doc_id" if c == "doc_id" else f"_rest.`{c}`") for c in docs.columns])

@@ -27,7 +27,7 @@ def with_metrics(docs: DataFrame) -> DataFrame:
     """``docs`` and their counts: ``n_words``, ``word_chars`` (code points in words), ``n_symbols``,
     ``n_dup_lines`` (lines with a word that equal an earlier line), ``n_repeat_words`` (words in 5-word
     windows that the text has twice or more) and ``base_failed``, all in ``_q``; and the thousandths the
-    sketches count in ``_m``.  NULL text counts as empty.  Columns of these two names are replaced.
+    sketches count in ``_m``.  NULL text counts as empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     split = docs.withColumn("_w", words(F.col("text")))
@@ -119,28 +119,29 @@ def judge(measured: DataFrame, limits: DataFrame, broadcast_rows: int = 200_000)
 
 
 def quality_rules(docs: DataFrame, keep: list[str] | None = None, min_rows: int = 100) -> DataFrame:
-    """``docs`` with the structs ``_q`` (counts) and ``_m`` and the verdict ``_kept``; ``keep`` names the
-    columns to carry (all by default).
+    """``row`` (a struct of the columns in ``keep``, all by default), ``lang, source``, the counts ``_q``
+    and ``_m`` and the verdict ``_kept`` of every row of ``docs``.
 
     NULL ``lang`` and ``source`` are groups of their own.  NULL or empty text has no words and fails.
     Rows are judged one by one: repeated rows get the same verdict, an empty table gives an empty one.
-    The measured rows are stored once; sketches and verdicts read them back.
+    Further columns, of any name, stay in ``row``.  The measured rows are stored once; sketches and
+    verdicts read them back.
     """
-    measured = materialise(with_metrics(docs).select(*[F.col(f"`{c}`") for c in (keep or docs.columns)
-                                                       if c not in ("_q", "_m")], "_q", "_m"))
+    own = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
+    measured = materialise(with_metrics(docs.select(own.alias("row"), "text", "lang", "source")).drop("text"))
     return judge(measured, materialise(thresholds(sketch(measured), min_rows)))
 
 
 def op9(docs: DataFrame) -> DataFrame:
     """Counts and verdict per document, in the columns of the contract."""
-    judged = quality_rules(docs, ["doc_id", "lang", "source"])
-    return judged.select("doc_id", *[F.col(f"_q.{m}").alias(m) for m in METRICS],
+    judged = quality_rules(docs, ["doc_id"])
+    return judged.select("row.doc_id", *[F.col(f"_q.{m}").alias(m) for m in METRICS],
                          F.col("_kept").alias("kept"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents the rules keep, in their own columns."""
-    return quality_rules(docs).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality_rules(docs).where("_kept").select("row.*")
 
 
 def _fence_sql(name: str, by: str) -> str:

@@ -195,14 +195,15 @@ def with_slots(placed: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
-    """``docs`` with ``_pt`` (weight and coordinates) and ``_shard``, 0 upward; give the number of shards
-    or the bytes of one.
+    """``row`` (a struct of all columns), ``doc_id``, ``_pt`` (weight and coordinates) and ``_shard``, 0
+    upward; give the number of shards or the bytes of one.
 
     NULL metadata sorts first, NULL text weighs its row alone.  Rows equal in id, text, language and
-    source stay together; an empty table gives no rows.  The tree is grown on stored coordinates, without
-    the texts, and then applied to ``docs`` row by row.
+    source stay together; an empty table gives no rows.  Further columns, of any name, stay in ``row``.
+    The tree is grown on stored coordinates, without the texts, and then applied to ``docs`` row by row.
     """
-    pointed = with_point(docs, shared_prefixes(docs))
+    pointed = with_point(docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang", "source"),
+                         shared_prefixes(docs)).drop("text", "lang", "source")
     levels, first = grow(materialise(pointed.select("_pt")), shards, target_bytes)
     return place(pointed, levels, first)
 
@@ -219,6 +220,6 @@ def op1(docs: DataFrame, shards: int = 24) -> DataFrame:
 
 
 def stage(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """``docs`` with their ``shard``."""
-    own = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
+    """``docs`` with their ``shard``, which replaces a column of that name."""
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "shard"]
     return shard(docs, shards).select(*own, F.col("_shard").alias("shard"))
