@@ -323,13 +323,14 @@ def test_page_blocks():
 
 def test_repeats_on_a_host_go(spark):
     same = "<div>all pages of this host have this long line of words on them</div>"
-    page = "<html><body>{}<p>only page {} says this, and it says it at some length</p></body></html>"
-    rows = [(i, f"http://h.example/{i}", page.format(same, i)) for i in range(3)]
-    rows += [(9, "http://other.example/", page.format(same, 9)), (None, None, None), (5, "x", "")]
+    page = "<html><body>{}<p>{}</p></body></html>"
+    own = {i: " ".join(f"word{i}_{k}" for k in range(9)) for i in (0, 1, 2, 9)}
+    rows = [(i, f"http://h.example/{i}", page.format(same, own[i])) for i in range(3)]
+    rows += [(9, "http://other.example/", page.format(same, own[9])), (None, None, None), (5, "x", "")]
     got = {r.page_id: r.text for r in extraction.op3(spark.createDataFrame(
         rows, "page_id long, url string, html string")).collect()}
     for i in range(3):
-        assert got[i] == f"only page {i} says this, and it says it at some length"
+        assert got[i] == own[i]
     assert got[9].startswith("all pages of this host") and got[None] == "" and got[5] == ""
 
 
