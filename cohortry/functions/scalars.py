@@ -50,7 +50,7 @@ def tag_if_present(col: Column | str, tag: str) -> Column:
 def parse_age(col: Column | str) -> Column:
     """``E25`` / ``I25`` -> 25; blank or too short -> NULL."""
     c = as_col(col)
-    return F.when(F.length(c) >= 2, to_int(F.substring(c, 2, 1_000)))
+    return F.when(F.length(c) >= 2, to_int(F.substr(c, F.lit(2))))
 
 
 def bucket(col: Column | str, bounds: Sequence[tuple], otherwise=None) -> Column:

@@ -5,8 +5,8 @@ from .aggregates import (count_distinct_ids, distinct_list, distinct_rows, ids_w
                          window_diversity, windowed_aggs)
 from .incremental import (DuplicateKeys, merge_partitions, newer_than, require_unique,
                           since_high_water, upsert)
-from .joins import (active_ids, broadcast_if_small, label_membership, latest_version, left_enrich, membership,
-                    recent_ids, small_rows)
+from .joins import (active_ids, label_membership, latest_version, left_enrich, membership,
+                    recent_ids)
 from .materialise import materialise, scratch_path, shared_dir
 from .months import MONTH, month_text, prune_months, with_month
 from .quality import expr_true, not_null, report, unique, unique_combo

@@ -5,37 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .skew import is_hot
 
-#: largest result that may be turned into literals on the driver
-SMALL_ROWS = 10_000
 NULL_SPREAD = 1_024
 HOT_SPREAD = 64
 
 
-def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
-    """All rows if there are at most ``limit`` of them, else ``None``.
-
-    Callers must have a distributed way for the ``None`` case.
-    """
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint when it is seen to have at most ``max_rows`` rows.
-
-    For dimensions that are themselves joins: Catalyst's size guess for those is far too high, so it
-    would shuffle the fact even for a tiny one.  The check computes the dimension, never the fact.
-    """
-    if max_rows and df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str] = (),
                 hot: Sequence[int] = ()) -> DataFrame:
     """Left-outer lookup of ``dim`` on equally named keys; one copy of the keys remains.
@@ -89,17 +67,14 @@ def label_membership(df: DataFrame, id_col: str, labelled_ids: Sequence[tuple[st
 
 def latest_version(lookup: DataFrame, metadata: DataFrame, key: str = "audience_id",
                    version: str = "ver") -> DataFrame:
-    """Rows of ``lookup`` whose version is the latest one ``metadata`` records for the key."""
-    latest = metadata.groupBy(key).agg(F.max(version).alias(version)) \
+    """Rows of ``lookup`` whose version is the latest one ``metadata`` records for the key, in their own
+    columns.  A NULL key matches nothing.
+
+    The latest versions are one row per key; Spark broadcasts them by their size or splits hot keys.
+    """
+    latest = metadata.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(version).alias(version)) \
         .where(F.col(version).isNotNull())
-    rows = small_rows(latest)
-    if rows is None:
-        return lookup.join(latest, [key, version], "left_semi")
-    if not rows:
-        return lookup.limit(0)
-    # few keys: a literal map keeps the lookup a plain filtered scan, whatever the skew of its keys
-    pairs = [F.lit(x) for r in rows for x in (r[key], r[version])]
-    return lookup.where(F.create_map(*pairs)[F.col(key)] == F.col(version))
+    return lookup.join(latest, [key, version], "left_semi").select(*lookup.columns)
 
 
 def active_ids(fact: DataFrame, ids: DataFrame, id_col: str, date_col: str, start=None,

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators import (broadcast_if_small, hot_key_hashes, label_membership,
-                                left_enrich)
+from cohortry.operators import hot_key_hashes, label_membership, left_enrich
 
 MERCHANT = {"merch_desc": "merchant_description", "mcc": "merchant_category_code",
             "merch_city": "merchant_city", "merch_state": "merchant_state",
@@ -16,8 +15,6 @@ MERCHANT = {"merch_desc": "merchant_description", "mcc": "merchant_category_code
 TAGGING = {"store_id": "store_id", "brand_id": "brand_id", "channel": "transaction_channel",
            "locationid": "locationid"}
 TAXONOMY = ["store_name", "brand_name", "store_type", "brand_type", "brand_tagging_classification"]
-#: a terminal dimension up to this many rows is sent to every task instead of shuffling the fact
-BROADCAST_TERMINALS = 100_000
 LOCATION = {"address": "store_address", "city": "store_city", "state": "store_state",
             "zip": "store_zip", "country": "store_country", "est_open_date": "store_open_date",
             "est_close_date": "store_close_date"}
@@ -61,16 +58,15 @@ def enrich_transactions(tx: DataFrame, card: DataFrame, merchant: DataFrame, tag
                         taxonomy: DataFrame, location: DataFrame,
                         control: DataFrame | None = None, exposed: DataFrame | None = None,
                         start=None, end=None, since=None, id_col: str = "individual_id",
-                        dedupe_tags: bool = False, salt_from: int | None = None,
-                        broadcast_terminals: int = BROADCAST_TERMINALS) -> DataFrame:
+                        dedupe_tags: bool = False, salt_from: int | None = None) -> DataFrame:
     """Transactions with card, merchant, brand, location and experiment attributes (35 columns).
 
     Run modes: ``start``/``end`` (inclusive back-fill), ``since`` (rows after a date: incremental),
     neither (full).  One terminal may carry several brand tags; each gives a row unless
-    ``dedupe_tags`` keeps the lowest.  ``broadcast_terminals`` bounds the terminal dimension that may
-    be broadcast, 0 to leave the choice to Spark.  ``salt_from`` finds cards
-    and terminals with at least that many rows and deals those rows out to many tasks; without it
-    AQE's skew-join splitting does so at run time.
+    ``dedupe_tags`` keeps the lowest.  ``salt_from`` finds cards and terminals with at least that many
+    rows and deals those rows out to many tasks; without it AQE's skew-join splitting does so at run
+    time.  Nothing is computed while the plan is built, and whether the terminal dimension is
+    broadcast is Spark's choice by its measured size.
     """
     rows = tx.where(F.col("trans_date").isNotNull())
     if start is not None and end is not None:
@@ -89,9 +85,7 @@ def enrich_transactions(tx: DataFrame, card: DataFrame, merchant: DataFrame, tag
     spread = ["txid", "trans_time"]
     out = left_enrich(rows, card_dimension(card, control, exposed, id_col), ["membccid"], spread,
                       hot_cards)
-    terminals = broadcast_if_small(
-        terminal_dimension(merchant, tagging, taxonomy, location, dedupe_tags),
-        broadcast_terminals if salt_from is None else 0)
+    terminals = terminal_dimension(merchant, tagging, taxonomy, location, dedupe_tags)
     out = left_enrich(out, terminals, ["_terminal"], spread, hot_terminals)
     return out.select(
         "txid", "trans_date", "trans_time", "trans_time_zone", "trans_amount",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions import codes
 from cohortry.operators import (category_importance, category_shares, materialise, numeric_profile,
-                                small_rows, top_n)
+                                top_n)
 
 log = logging.getLogger(__name__)
 IMPORTANCE_FLOOR = 0.1
@@ -61,39 +61,40 @@ def numeric_score(weights: dict[str, tuple[float, float, float]]) -> Column:
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
-def categorical_score(pop: DataFrame, shares: DataFrame, categorical: Sequence[str]):
+def categorical_score(pop: DataFrame, shares: DataFrame, categorical: Sequence[str],
+                      joined: Sequence[str] = ()):
     """(population with any columns needed, score): seed share of the value times importance.
 
-    Fields whose seed values fit on the driver become literal maps, so no join is needed.  Should
-    there be too many values, the shares are joined per field instead; the result is the same.
+    Fields of a code list become literal maps, so no join is needed.  Fields named in ``joined``, whose
+    values are not such a list (a city, an id), are looked up by a join instead; the result is the same.
     """
     weighted = shares.where(F.col("seed_share").isNotNull()) \
         .join(F.broadcast(category_importance(shares, IMPORTANCE_FLOOR)), "field") \
         .select("field", "value", (F.col("seed_share") * F.col("importance")).alias("points"))
-    rows = small_rows(weighted)
+    rows = weighted.where(~F.col("field").isin(*joined)).collect() if joined else weighted.collect()
     terms = []
-    if rows is not None:
-        for field in categorical:
-            pairs = [F.lit(x) for r in rows if r["field"] == field for x in (r["value"], r["points"])]
-            if pairs:
-                terms.append(F.coalesce(F.create_map(*pairs)[F.col(field).cast("string")],
-                                        F.lit(0.0)))
-    else:
-        for field in categorical:
+    for field in categorical:
+        if field in joined:
             points = weighted.where(F.col("field") == field) \
                 .select(F.col("value").alias(f"_v_{field}"), F.col("points").alias(f"_p_{field}"))
             pop = pop.join(points, F.col(field).cast("string") == F.col(f"_v_{field}"), "left")
             terms.append(F.coalesce(F.col(f"_p_{field}"), F.lit(0.0)))
+            continue
+        pairs = [F.lit(x) for r in rows if r["field"] == field for x in (r["value"], r["points"])]
+        if pairs:
+            terms.append(F.coalesce(F.create_map(*pairs)[F.col(field).cast("string")], F.lit(0.0)))
     return pop, reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
 def score_population(pop: DataFrame, numeric: Sequence[str] = tuple(codes.NUMERIC_FIELDS),
                      categorical: Sequence[str] = tuple(codes.CATEGORICAL_FIELDS),
-                     id_col: str = "individual_id", store: bool = True) -> DataFrame:
+                     id_col: str = "individual_id", store: bool = True,
+                     joined: Sequence[str] = ()) -> DataFrame:
     """Similarity scores of the whole population; no rows when the seed is empty.
 
     The statistics are two small aggregates whose results become literals, so scoring itself is a
-    single projection.  The population is stored first (``store``) as three jobs read it.
+    single projection, but for the categorical fields in ``joined``, which have no short list of values.
+    The population is stored first (``store``) as three jobs read it.
     """
     if store:
         pop = materialise(pop)
@@ -105,7 +106,7 @@ def score_population(pop: DataFrame, numeric: Sequence[str] = tuple(codes.NUMERI
     else:
         log.info("seed of %d people", seeds)
     shares = category_shares(pop, "is_seed", categorical)
-    pop, by_category = categorical_score(pop, shares, categorical)
+    pop, by_category = categorical_score(pop, shares, categorical, joined)
     scored = pop.select(id_col, "is_seed",
                         numeric_score(gaussian_weights(profile)).alias("numeric_similarity_score"),
                         by_category.alias("categorical_similarity_score"))

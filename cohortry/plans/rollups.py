@@ -93,4 +93,4 @@ def media_rollup(attrs: DataFrame, id_col: str = "individual_id", unique_keys: b
     keys = [id_col, "partition_date"]
     out = tag_count_maps(attrs.where(F.col("partition_date").isNotNull()), keys, codes.MEDIA_TAGS,
                          codes.MEDIA_COLUMNS, unique_keys, present)
-    return out.withColumn("inscape_weight", F.lit(1))
+    return out.withColumn("media_weight", F.lit(1))

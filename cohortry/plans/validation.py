@@ -15,8 +15,6 @@ from cohortry.functions import in_range, keyword_match, ratio
 from cohortry.operators import (latest_version, materialise, prune_months, ranked, size_band)
 
 NAME_COLUMNS = ("brand_name", "store_name", "merchant_description")
-#: distinct (window, keywords) pairs evaluated in one pass over the fact
-MEASURES_PER_PASS = 40
 
 
 @dataclass(frozen=True)
@@ -27,6 +25,15 @@ class Audience:
     date_start: date
     date_end: date
 
+    @property
+    def fault(self) -> str | None:
+        """Why the definition cannot be measured, if so."""
+        if self.date_start is None or self.date_end is None:
+            return "a date is missing"
+        if self.date_start >= self.date_end:
+            return "the window is empty"
+        return None if any(self.brand_keywords) else "there are no keywords"
+
     @property
     def measure(self):
         return self.date_start, self.date_end, tuple(sorted({k.upper()
@@ -149,16 +156,25 @@ def _baseline(people: DataFrame, measures, windows, id_col) -> tuple[dict, dict]
 
 def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], lookup: DataFrame,
                        metadata: DataFrame, fact: DataFrame, id_col: str = "individual_id",
-                       seed: DataFrame | None = None) -> DataFrame:
-    """One row per audience definition, in one scan of the fact for all of them.
+                       seed: DataFrame | None = None, measures_per_pass: int = 40) -> DataFrame:
+    """One row per audience definition, in one scan of the fact for each ``measures_per_pass`` different
+    (window, keywords) pairs; each pair is three columns of an aggregate, so the bound keeps rows short.
+
+    A definition that cannot be measured (a date or all keywords missing, or dates in the wrong order)
+    keeps its row with the reason in ``error`` and NULL metrics; the others are measured.
 
     Members are the distinct ids of the audience's latest version.  An audience without members keeps
     its row with zero counts and NULL lifts.  With ``seed`` the result has one row per audience and
     ``is_seed`` value that occurs.
     """
-    numbered = list(enumerate(audiences))
-    if not numbered:
+    audiences = list(audiences)
+    if not audiences:
         raise ValueError("no audiences defined")
+    numbered = [(no, a) for no, a in enumerate(audiences) if a.fault is None]
+    faulty = spark.createDataFrame([(a.name, a.audience_id, a.fault) for a in audiences if a.fault],
+                                   "audience_name string, audience_id string, error string")
+    if not numbered:
+        return faulty
     members = latest_version(lookup, metadata).where(F.col(id_col).isNotNull()) \
         .where(F.col("audience_id").isin(*{a.audience_id for _, a in numbered})) \
         .select("audience_id", id_col).distinct()
@@ -170,8 +186,8 @@ def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], looku
         extra = ["is_seed"]
     all_measures = list(dict.fromkeys(a.measure for _, a in numbered))
     parts = []
-    for at in range(0, len(all_measures), MEASURES_PER_PASS):
-        measures = all_measures[at:at + MEASURES_PER_PASS]
+    for at in range(0, len(all_measures), measures_per_pass):
+        measures = all_measures[at:at + measures_per_pass]
         chunk = [(no, a) for no, a in numbered if a.measure in measures]
         people, windows = person_measures(fact, measures, id_col)
         people = materialise(people)
@@ -186,7 +202,8 @@ def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], looku
     counts = ["total_lal_ids", "active_matched_ids", "brand_shoppers", "brand_transactions",
               "brand_spend"]
     filled = joined.fillna(0, subset=counts)
-    return add_rates(filled).select(*RESULT_COLUMNS, *extra)
+    measured = add_rates(filled).select(*RESULT_COLUMNS, *extra, F.lit(None).cast("string").alias("error"))
+    return measured.unionByName(faulty, allowMissingColumns=True)
 
 
 def reach_curve(scores: DataFrame, fact: DataFrame, sizes: Sequence[int], keywords: Sequence[str],

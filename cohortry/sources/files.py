@@ -17,8 +17,14 @@ CSV = {"sep": ",", "header": True}
 
 def read_parquet_by_name(spark: SparkSession, path: str, schema: T.StructType,
                          glob: str | None = None) -> DataFrame:
-    """Parquet matched to ``schema`` by name in any case; absent columns are NULL, others unread."""
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    """Parquet matched to ``schema`` by name in any case; absent columns are NULL, others unread.
+
+    Files of one drop may have different columns: the names of all footers count.  Two names in a file
+    that differ in case alone are an error.
+    """
+    reader = spark.read.option("mergeSchema", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     df = reader.parquet(path)
     by_name = {c.lower(): c for c in df.columns}
     out = []
@@ -74,7 +80,8 @@ def load(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t",
 
 def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t",
                   header: bool = False, glob: str | None = None) -> DataFrame:
-    """Every row, good or bad: schema columns, the raw text of a bad row, and the file name."""
+    """Every row, good or bad: schema columns, the raw text of a bad row, the file's path, and a place
+    that rises through a file."""
     wide = T.StructType(schema.fields + [T.StructField(REJECT, T.StringType())])
     rows = _reader(spark, wide, sep, header, glob, mode="PERMISSIVE",
                    columnNameOfCorruptRecord=REJECT).csv(path)
@@ -82,23 +89,30 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str
     # reject text to an always-true test over all columns makes every plan judge whole rows.
     whole_row = F.hash(*schema.fieldNames()) >= F.lit(-2**31)
     return rows.select(*schema.fieldNames(), F.when(whole_row, F.col(REJECT)).alias(REJECT),
-                       F.col("_metadata.file_name").alias("_file"))
+                       F.col("_metadata.file_path").alias("_file"),
+                       F.struct(F.col("_metadata.file_block_start").alias("block"),
+                                F.monotonically_increasing_id().alias("row")).alias("_place"))
 
 
 def with_load_ts(df: DataFrame) -> DataFrame:
     return df.withColumn("load_timestamp", F.current_timestamp())
 
 
-def load_report(rows: DataFrame) -> DataFrame:
-    """Per file of :func:`read_tolerant`: rows parsed, loaded, rejected, an example and a status."""
+def load_report(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per file of :func:`read_tolerant`, by its path: rows parsed, loaded, rejected, the first rejected
+    row in file order and a status.  With ``files`` (from :func:`list_files`) files without rows are
+    listed too."""
     bad = F.col(REJECT).isNotNull()
-    return rows.groupBy(F.col("_file").alias("file")).agg(
+    report = rows.groupBy(F.col("_file").alias("file")).agg(
         F.count(F.lit(1)).alias("row_parsed"),
         F.count_if(~bad).alias("row_count"),
         F.count_if(bad).alias("error_count"),
-        F.min(REJECT).alias("first_error")) \
-        .withColumn("status", F.when(F.col("error_count") == 0, "LOADED")
-                    .when(F.col("row_count") == 0, "LOAD_FAILED").otherwise("PARTIALLY_LOADED"))
+        F.min_by(REJECT, F.when(bad, F.col("_place"))).alias("first_error"))
+    if files is not None:
+        counts = ["row_parsed", "row_count", "error_count"]
+        report = files.select(F.col("path").alias("file")).join(report, "file", "left").fillna(0, subset=counts)
+    return report.withColumn("status", F.when(F.col("error_count") == 0, "LOADED")
+                             .when(F.col("row_count") == 0, "LOAD_FAILED").otherwise("PARTIALLY_LOADED"))
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None,

@@ -46,22 +46,19 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
 
 def upsert_stream(stream: DataFrame, target: str, keys: Sequence[str], partition_col: str,
                   checkpoint: str, order_by: str | None = None,
-                  trigger_once: bool = True) -> StreamingQuery:
+                  trigger_once: bool = True, mode: str = "append") -> StreamingQuery:
     """Upserts every micro-batch into a partitioned Parquet table.
 
-    Re-running a batch after a failure gives the same table.  ``order_by`` picks the row to keep
-    when a batch holds a key more than once (the highest); without it that is an error.
+    Re-running a batch after a failure gives the same table.  With ``order_by`` the row of the highest
+    value stays, whether it is in the batch or in the table, so late rows replace nothing newer;
+    without it a key twice in a batch is an error.  ``mode="update"`` suits aggregates, whose changed
+    rows replace the old.
     """
     def merge(batch: DataFrame, _batch_id: int) -> None:
         if batch.isEmpty():
             return
-        if order_by:
-            rest = [c for c in batch.columns if c not in (*keys, order_by)]
-            batch = batch.groupBy(*keys) \
-                .agg(F.max(F.struct(order_by, *rest)).alias("_r")).select(*keys, "_r.*")
-        merge_partitions(batch.sparkSession, target, batch, keys, partition_col,
-                         check=order_by is None)
-    return _trigger(stream.writeStream.foreachBatch(merge)
+        merge_partitions(batch.sparkSession, target, batch, keys, partition_col, order_by=order_by)
+    return _trigger(stream.writeStream.outputMode(mode).foreachBatch(merge)
                     .option("checkpointLocation", checkpoint), trigger_once).start()
 
 

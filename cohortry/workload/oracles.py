@@ -501,7 +501,7 @@ def media_rollup() -> str:
         for kind in codes.MEDIA_TYPES)
     return f"""WITH {ATTRS}, {_media()}, counted AS (SELECT individual_id, partition_date, attr_type,
  attr_value, count(*) AS n FROM media GROUP BY ALL)
-SELECT individual_id, {text('partition_date')}, {maps}, CAST(1 AS BIGINT) AS inscape_weight
+SELECT individual_id, {text('partition_date')}, {maps}, CAST(1 AS BIGINT) AS media_weight
 FROM counted GROUP BY individual_id, partition_date"""
 
 
@@ -611,7 +611,7 @@ ORACLES: dict[str, str] = {
     "seed_grid": seed_grid(),
     "pop_features": pop_row("attrs"), "pop_features_rfm": pop_row("rfm"),
     "numeric_profile": f"WITH {_pop()}, {_profile()} SELECT (SELECT count(*) FROM pop WHERE is_seed = "
-                       f"1) AS n_seeds, feature, {dbl('seed_mean', 'seed_std', 'pop_mean', 'pop_std')}"
+                       f"1) AS n_seeds, (SELECT count(*) FROM pop) AS n_population, feature, {dbl('seed_mean', 'seed_std', 'pop_mean', 'pop_std')}"
                        " FROM profile",
     "category_shares": f"WITH {_pop()}, {_shares()} SELECT field, value, {big('seed_count')}, "
                        f"pop_count, {dbl('seed_share', 'pop_share')} FROM shares",
@@ -624,13 +624,13 @@ ORACLES: dict[str, str] = {
     "latest_version": f"WITH {LATEST} SELECT individual_id, audience_id, {big('ver')} FROM latest",
     "audience_validation": f"WITH {FACT}, {CONFIG}, {LATEST}, {_validated('latest', 'result')} SELECT "
                            f"audience_name, audience_id, {big(*COUNTS)}, "
-                           f"{dbl('brand_spend', *RATE_COLUMNS)} FROM result",
+                           f"{dbl('brand_spend', *RATE_COLUMNS)}, CAST(NULL AS VARCHAR) AS error FROM result",
     "validation_by_seed": f"WITH {FACT}, {CONFIG}, {LATEST}, flagged AS (SELECT l.audience_id, "
                           "l.individual_id, CASE WHEN s.individual_id IS NULL THEN 0 ELSE 1 END AS "
                           f"is_seed FROM latest l LEFT JOIN ({seed(minimum=1)}) s ON s.individual_id "
                           f"= l.individual_id), {_validated('flagged', 'result', True)} SELECT "
                           f"audience_name, audience_id, {big('is_seed', *COUNTS)}, "
-                          f"{dbl('brand_spend', *RATE_COLUMNS)} FROM result",
+                          f"{dbl('brand_spend', *RATE_COLUMNS)}, CAST(NULL AS VARCHAR) AS error FROM result",
     "reach_curve": reach_curve(), "run_delta": run_delta(),
     "semi_active": f"WITH {FACT} SELECT CAST(c_custkey AS VARCHAR) AS individual_id FROM customer "
                    "WHERE CAST(c_custkey AS VARCHAR) IN (SELECT individual_id FROM known WHERE "
@@ -668,7 +668,8 @@ def _dq_report() -> str:
 
 ORACLES["dq_report"] = _dq_report()
 ORACLES["stream_ingest"] = \
-    f"SELECT event_id, user_id, event_type, {dbl('value')}, props FROM events"
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, " \
+    f"{dbl('value')}, props FROM events"
 ORACLES["stream_daily"] = (
     "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, user_id, count(*) AS transaction_count, "
     "ROUND(sum(value), 6) AS total_amount, ROUND(min(value), 6) AS min_amount, "

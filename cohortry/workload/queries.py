@@ -408,8 +408,7 @@ def pop_features_rfm(d):
 
 
 def q_numeric_profile(d):
-    return numeric_profile(materialise(_population(d)), "is_seed", codes.NUMERIC_FIELDS) \
-        .drop("n_population")
+    return numeric_profile(materialise(_population(d)), "is_seed", codes.NUMERIC_FIELDS)
 
 
 def q_category_shares(d):
@@ -524,10 +523,8 @@ EVENTS = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def _run(query, timeout: int = 600):
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError("stream did not finish")
+def _run(query):
+    query.awaitTermination()
     if query.exception():
         raise query.exception()
 
@@ -540,17 +537,17 @@ def stream_ingest(d):
     out = scratch_path(d.spark, "ingest")
     for _ in range(2):  # the second run finds nothing new
         _run(write_stream(_events(d), out + "/data", out + "/checkpoint"))
-    return d.spark.read.schema(EVENTS).parquet(out + "/data").drop("ts")
+    return d.spark.read.schema(EVENTS).parquet(out + "/data").withColumn(
+        "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def stream_daily(d):
     """Daily totals per user of the event stream, every day emitted."""
     out = scratch_path(d.spark, "daily")
     daily = daily_stream(_events(d), "ts", "user_id", "value")
-    name = "daily_" + out[-32:]
-    _run(daily.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", out + "/checkpoint").trigger(availableNow=True).start())
-    return d.spark.table(name)
+    daily = daily.withColumn("month", F.date_format("day", "yyyy-MM"))
+    _run(upsert_stream(daily, out + "/data", ["day", "user_id"], "month", out + "/checkpoint", mode="update"))
+    return d.spark.read.schema(daily.schema).parquet(out + "/data").drop("month")
 
 
 def stream_upsert(d):
@@ -560,7 +557,8 @@ def stream_upsert(d):
                                (F.col("user_id") % 4).cast("int").alias("shard"))
     _run(upsert_stream(events, out + "/data", ["user_id"], "shard", out + "/checkpoint",
                        order_by="ts"))
-    return d.spark.read.parquet(out + "/data").select("user_id", "event_id", "event_type", "shard")
+    return d.spark.read.schema(events.schema).parquet(out + "/data").select(
+        "user_id", "event_id", "event_type", "shard")
 
 
 def stream_enrich(d):

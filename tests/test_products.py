@@ -242,13 +242,11 @@ def test_lookalike_values_and_missing_features(spark):
     assert out["b"]["categorical_similarity_score"] == 0
 
 
-def test_lookalike_large_vocabulary_path(spark, monkeypatch):
-    import cohortry.plans.lookalike as module
+def test_lookalike_fields_by_join(spark):
     data = [(f"p{i}", int(i % 3 == 0), float(i), f"v{i % 7}") for i in range(60)]
     pop = population(spark, data)
     literal = rows(lookalike_scores(pop, numeric=["x"], categorical=["g"]))
-    monkeypatch.setattr(module, "small_rows", lambda df: None)
-    assert rows(lookalike_scores(pop, numeric=["x"], categorical=["g"])) == literal
+    assert rows(lookalike_scores(pop, numeric=["x"], categorical=["g"], joined=["g"])) == literal
 
 
 def test_gaussian_weights_floor():

@@ -48,14 +48,16 @@ def test_tolerant_load_keeps_rejects(spark, drop):
     assert good.columns[-1] == "load_timestamp" and good.where("load_timestamp is null").count() == 0
     assert good.select("id").count() == 3               # judged alike whatever is selected
     assert {r["record"].split("\t")[0] for r in bad.collect()} == {"p3", "p4", "p5"}
-    assert {r["_file"] for r in bad.collect()} == {"b.tsv.gz"}
+    assert {r["_file"].split("/")[-1] for r in bad.collect()} == {"b.tsv.gz"}
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ|parsing"):
         load(spark, str(drop), SCHEMA, glob="*.gz", on_error="abort")[0].collect()
 
 
 def test_load_report(spark, drop):
-    got = {r["file"]: r for r in load_report(read_tolerant(spark, str(drop), SCHEMA, glob="*.gz"))
-           .collect()}
+    (drop / "c.tsv.gz").write_bytes(__import__("gzip").compress(b""))
+    got = {r["file"].split("/")[-1]: r for r in load_report(
+        read_tolerant(spark, str(drop), SCHEMA, glob="*.gz"), list_files(spark, str(drop), "*.gz")).collect()}
+    assert (got["c.tsv.gz"]["row_parsed"], got["c.tsv.gz"]["status"]) == (0, "LOADED")
     assert (got["a.tsv.gz"]["row_count"], got["a.tsv.gz"]["status"]) == (2, "LOADED")
     b = got["b.tsv.gz"]
     assert (b["row_parsed"], b["row_count"], b["error_count"], b["status"]) == (
@@ -63,6 +65,23 @@ def test_load_report(spark, drop):
     assert b["first_error"].startswith("p3")
 
 
+def test_load_report_tells_equal_names_apart(spark, tmp_path):
+    for name, text in (("d1", "a\t1\t2025-01-01\t1\n"), ("d2", "z\tbad\t2025-01-01\t1\na\tbad\tx\t1\n")):
+        (tmp_path / name).mkdir()
+        gz(tmp_path / name / "part-0.gz", text)
+    got = {r["file"].split("/")[-2]: r for r in load_report(
+        read_tolerant(spark, f"{tmp_path}/*", SCHEMA)).collect()}
+    assert got["d1"]["status"] == "LOADED" and got["d2"]["status"] == "LOAD_FAILED"
+    assert got["d2"]["first_error"].startswith("z")  # the first in the file, not in the alphabet
+
+
+def test_parquet_files_of_unlike_columns(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").write.parquet(str(tmp_path / "t" / "d1"))
+    spark.createDataFrame([(2, "x")], "A int, b string").write.parquet(str(tmp_path / "t" / "d2"))
+    wanted = schemas.struct([("a", "int"), ("B", "string")])
+    assert rows(read_parquet_by_name(spark, str(tmp_path / "t" / "*"), wanted)) == [(1, None), (2, "x")]
+
+
 def test_files_and_patterns(spark, drop):
     assert list_files(spark, str(drop)).count() == 3
     assert list_files(spark, str(drop), glob="*.gz").count() == 2
@@ -91,11 +110,23 @@ def test_write_table_and_csv(spark, tmp_path):
     write_table(df, str(tmp_path / "t"), cluster_by=["k"], partitions=4)
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 1000 and len(list((tmp_path / "t").glob("*.parquet"))) == 4
-    write_csv(df, str(tmp_path / "c"))
+    write_csv(df, str(tmp_path / "c"), single_file=True)
     assert len(list((tmp_path / "c").glob("*.csv"))) == 1
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 1000
 
 
+def test_files_are_sorted_within_partitions(spark, tmp_path):
+    import pyarrow.parquet as pq
+    df = spark.range(5000).select((F.col("id") * 7919 % 4999).alias("id"), (F.col("id") % 3).cast("string").alias("m"),
+                                  (F.col("id") * 31 % 97).alias("day"))
+    write_table(df, str(tmp_path / "t"), cluster_by=["day", "id"], partition_by=["m"], partitions=3)
+    files = list((tmp_path / "t").glob("m=*/*.parquet"))
+    assert files
+    for f in files:
+        got = pq.ParquetFile(f).read(columns=["day", "id"]).to_pylist()
+        assert got == sorted(got, key=lambda r: (r["day"], r["id"]))
+
+
 def test_row_counts_and_spread(spark):
     df = spark.range(10)
     assert rows(row_counts({"A": df, "B": df.limit(0)})) == [("A", 10), ("B", 0)]
@@ -127,8 +158,7 @@ def test_config_files(spark, tmp_path):
         audience_config(spark, CONFIG["defaults"], [{"audience_id": "a", "name": "n"}])
 
 
-def test_validation_in_chunks_and_with_repeated_ids(spark, monkeypatch):
-    import cohortry.plans.validation as module
+def test_validation_in_chunks_and_with_repeated_ids(spark):
     fact = spark.createDataFrame(
         [("p1", "t1", date(2025, 9, 2), 10.0, "ROSS", None, None),
          ("p1", "t2", date(2025, 9, 3), 20.0, "X", None, None),
@@ -143,8 +173,14 @@ def test_validation_in_chunks_and_with_repeated_ids(spark, monkeypatch):
     audiences = audiences_from(audience_config(spark, CONFIG["defaults"], CONFIG["audiences"]))
     audiences.append(Audience("a3", "Nobody", ("ROSS",), date(2025, 9, 1), date(2025, 10, 1)))
     whole = rows(validate_audiences(spark, audiences, lookup, meta, fact))
-    monkeypatch.setattr(module, "MEASURES_PER_PASS", 1)
-    assert rows(validate_audiences(spark, audiences, lookup, meta, fact)) == whole
+    assert rows(validate_audiences(spark, audiences, lookup, meta, fact, measures_per_pass=1)) == whole
+    bad = [Audience("b1", "No date", ("ROSS",), None, date(2025, 10, 1)),
+           Audience("b2", "No words", (), date(2025, 9, 1), date(2025, 10, 1))]
+    mixed = validate_audiences(spark, [bad[0], *audiences, bad[1]], lookup, meta, fact)
+    assert rows(mixed.where("error is null")) == whole
+    assert {(r["audience_id"], r["error"], r["shop_rate"]) for r in mixed.where("error is not null").collect()} == {
+        ("b1", "a date is missing", None), ("b2", "there are no keywords", None)}
+    assert validate_audiences(spark, bad, lookup, meta, fact).count() == 2
     one = next(r for r in validate_audiences(spark, audiences, lookup, meta, fact).collect()
                if r["audience_id"] == "a1")
     # repeated member ids do not count twice; the unknown person's spend is in the baseline only

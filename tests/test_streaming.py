@@ -60,7 +60,8 @@ def test_daily_totals_accept_late_rows_within_the_delay(spark, tmp_path):
 def test_upsert_over_batches(spark, tmp_path):
     src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
     for data in ([("a", datetime(2025, 1, 1), 1.0), ("b", datetime(2025, 1, 1), 2.0)],
-                 [("a", datetime(2025, 1, 2), 3.0), ("a", datetime(2025, 1, 3), 4.0)]):
+                 [("a", datetime(2025, 1, 2), 3.0), ("a", datetime(2025, 1, 3), 4.0)],
+                 [("a", datetime(2024, 12, 31), 9.0), ("b", datetime(2024, 12, 31), 9.0)]):  # older, and late
         put(spark, src, data)
         stream = ingest_stream(spark, src, SCHEMA, "parquet") \
             .withColumn("shard", F.when(F.col("id") == "a", "s1").otherwise("s2"))
