@@ -3,7 +3,7 @@
 from .aggregates import (count_distinct_ids, distinct_list, distinct_rows, ids_with_min_rows,
                          month_bounds, ref_date, summarise, tag_count_maps, tags_long,
                          window_diversity, windowed_aggs)
-from .incremental import (DuplicateKeys, merge_partitions, newer_than, require_unique,
+from .incremental import (DuplicateKeys, merge_partitions, replace_slice, newer_than, require_unique,
                           since_high_water, upsert)
 from .joins import (active_ids, label_membership, latest_version, left_enrich, membership,
                     recent_ids)

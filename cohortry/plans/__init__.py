@@ -1,7 +1,7 @@
 """Data products, each a function from DataFrames to a DataFrame."""
 
 from .attributes import person_attributes
-from .build import build_all, write_fact
+from .build import build_all, build_fact, write_fact
 from .enrich import card_dimension, enrich_transactions, terminal_dimension
 from .lookalike import (categorical_score, gaussian_weights, lookalike_scores, numeric_score,
                         population_features, score_population)

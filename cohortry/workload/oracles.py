@@ -666,6 +666,7 @@ def _dq_report() -> str:
     return f"WITH {FACT} " + " UNION ALL ".join(rows)
 
 
+ORACLES["build_incremental"] = ORACLES["build_range"] = ORACLES["daily_summary"]
 ORACLES["dq_report"] = _dq_report()
 ORACLES["stream_ingest"] = \
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, " \

@@ -22,7 +22,7 @@ from cohortry.operators import (active_ids, category_importance, category_shares
                                 hot_key_hashes, label_membership, latest_version, materialise, not_null,
                                 numeric_profile, ref_date, report, scratch_path, since_high_water,
                                 summarise, top_n, unique, unique_combo, upsert, window_diversity)
-from cohortry.plans import (audiences_from, daily_summary, enrich_transactions, household_rollup,
+from cohortry.plans import (audiences_from, build_fact, daily_summary, enrich_transactions, household_rollup,
                             lookalike_scores, media_long, media_rollup, person_attributes,
                             person_rollup, population_features, preset, reach_curve, rfm_features,
                             rfm_segments, run_delta, score_population, seed_grid, seed_ids,
@@ -203,6 +203,29 @@ def incremental_slice(d):
                             lookback_days=3).select("txid", "trans_date", "trans_amount")
 
 
+def _built(d, *runs) -> DataFrame:
+    """The daily summary as several runs of the build leave it: (last date of the transactions known, mode)."""
+    out = scratch_path(d.spark, "build")
+    for last, kw in runs:
+        tx = d.tx if last is None else d.tx.where(F.col("trans_date") <= F.lit(last))
+        build_fact(d.spark, {"transaction": tx, "card": d.card, "merchant": d.merchant,
+                             "brand_tagging": d.tagging, "brand_taxonomy": d.taxonomy,
+                             "brand_location": d.location, "control": d.control, "exposed": d.exposed}, out, **kw)
+    return d.spark.read.parquet(out + "/daily_summary").drop("trans_month")
+
+
+def build_incremental(d):
+    """A first run up to a date, then two that find later transactions."""
+    return _built(d, (MID, {"mode": "incremental"}), (PINNED, {"mode": "incremental"}),
+                  (None, {"mode": "incremental", "lookback_days": 3}))
+
+
+def build_range(d):
+    """A full run, then a back-fill over the turn of a month."""
+    return _built(d, (None, {"mode": "full"}),
+                  (None, {"mode": "range", "start": date(2001, 1, 20), "end": date(2001, 2, 10)}))
+
+
 def merge_upsert(d):
     """Summary up to a date, upserted with a later run that overlaps it by a month."""
     fact = _fact(d)
@@ -578,6 +601,7 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "daily_summary_spread": daily_summary_spread, "daily_mode": daily_mode,
     "distinct_lists": distinct_lists, "distinct_rows": q_distinct_rows,
     "incremental_slice": incremental_slice, "merge_upsert": merge_upsert,
+    "build_incremental": build_incremental, "build_range": build_range,
     "holdout_filter": holdout_filter, "brand_filter": brand_filter, "ref_date": q_ref_date,
     "normalise_values": normalise_values,
     "attributes": attributes, "decode_codes": decode_codes, "parse_age": parse_age_,
