@@ -69,33 +69,33 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 where = np.flatnonzero(np.isin(anchor, np.array(shared.as_py(), dtype=np.int64)))
                 starts.append(where.astype(np.int32)), values.append(whole[lo + where].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column("t1"), part.column("t2"), pa.array(starts, pa.list_(pa.int32())),
-                 pa.array(values, pa.list_(pa.int64()))], names=["t1", "t2", "starts", "values"])
+                [part.column("no"), pa.array(starts, pa.list_(pa.int32())),
+                 pa.array(values, pa.list_(pa.int64()))], names=["no", "starts", "values"])
 
 
-def factors(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Greedy parse of a text's windows found in the reference, ``(start, ref text 1, ref text 2, ref
-    start)`` in order, into factors ``(start, words, ref text 1, ref text 2, ref start)``."""
+def factors(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Greedy parse of a text's windows found in the reference, ``(start, reference text, reference start)``
+    in order, into factors ``(start, words, reference text, reference start)``."""
     out: list[list[int]] = []
-    for at, r1, r2, ref in hits:
+    for at, text, ref in hits:
         last = out[-1] if out else None
-        if last and last[2:4] == [r1, r2] and at == last[0] + last[1] - WINDOW + 1 \
-                and ref - last[4] == at - last[0]:
+        if last and last[2] == text and at == last[0] + last[1] - WINDOW + 1 and ref - last[3] == at - last[0]:
             last[1] += 1
         else:
-            out.append([at, WINDOW, r1, r2, ref])
+            out.append([at, WINDOW, text, ref])
     return [tuple(x) for x in out]
 
 
+FACTORS = "array<struct<start:int,words:int,ref_no:long,ref:int>>"
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("r1", pa.int64()),
-                               ("r2", pa.int64()), ("ref", pa.int32())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref_no", pa.int64()),
+                               ("ref", pa.int32())]))
     for batch in batches:
-        out = [[dict(zip(("start", "words", "r1", "r2", "ref"), f)) for f in factors(
-            [(h["start"], h["r1"], h["r2"], h["ref"]) for h in hits.as_py()])]
-            for hits in batch.column("hits")]
-        yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(out, kind)],
-                                         names=["t1", "t2", "factors"])
+        out = [[dict(zip(("start", "words", "ref_no", "ref"), f)) for f in factors(
+            [(h["start"], h["ref_no"], h["ref"]) for h in hits.as_py()])] for hits in batch.column("hits")]
+        yield pa.RecordBatch.from_arrays([batch.column("no"), pa.array(out, kind)], names=["no", "factors"])
 
 
 def keep_words(text: bytes, spans: list[tuple[int, int]], copied: bool) -> tuple[int, bytes]:
@@ -125,8 +125,9 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """``t1, t2`` (hashes of a text), ``copies`` (rows with it) and its ``factors`` (``start, words`` and
-    the reference: text ``r1, r2`` and place ``ref``, in words), for texts that have copies or factors.
+    """``t1, t2`` (hashes of a text), ``copies`` (rows with it), ``no`` (a number of the text) and its
+    ``factors`` (``start, words`` and the reference: text ``ref_no`` and place ``ref``, in words), for
+    texts that have copies or factors.
 
     NULL text counts as empty and has no windows, as have texts under 35 words.  Equal windows in one
     text count; repeated rows are copies.
@@ -136,25 +137,25 @@ def parse(docs: DataFrame) -> DataFrame:
     anchors = materialise(keyed.mapInArrow(
         _anchors, "t1 long, t2 long, anchors array<long>, places array<int>").where(
         F.size("anchors") > 0).groupBy("t1", "t2").agg(
-        F.first("anchors").alias("anchors"), F.first("places").alias("places")))
-    each = anchors.select("t1", "t2", F.posexplode_outer("anchors").alias("i", "anchor"), "places").select(
-        "t1", "t2", "anchor", F.expr("places[i]").alias("place"))
+        F.first("anchors").alias("anchors"), F.first("places").alias("places")).select(
+        F.monotonically_increasing_id().alias("no"), "*"))
+    named = anchors.select("no", "t1", "t2")
+    each = anchors.select("no", F.explode_outer(F.arrays_zip("anchors", "places")).alias("a")).select(
+        "no", F.col("a.anchors").alias("anchor"), F.col("a.places").alias("place"))
     twice = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = each.join(twice, "anchor").groupBy("t1", "t2").agg(F.collect_list("place").alias("shared"))
-    texts = keyed.join(materialise(shared), ["t1", "t2"]).groupBy("t1", "t2").agg(
-        F.first("text").alias("text"), F.first("shared").alias("shared"))
-    windows = materialise(texts.mapInArrow(
-        _windows, "t1 long, t2 long, starts array<int>, values array<long>"))
-    place = windows.select("t1", "t2", F.explode_outer(F.arrays_zip("starts", "values")).alias("w")).select(
-        F.col("w.values").alias("value"), F.struct("t1", "t2", F.col("w.starts").alias("start")).alias("p"))
+    shared = each.join(twice, "anchor").groupBy("no").agg(F.collect_list("place").alias("shared"))
+    texts = keyed.join(materialise(shared.join(named, "no")), ["t1", "t2"]).groupBy("t1", "t2").agg(
+        F.first("no").alias("no"), F.first("text").alias("text"), F.first("shared").alias("shared"))
+    windows = materialise(texts.mapInArrow(_windows, "no long, starts array<int>, values array<long>"))
+    place = windows.select("no", F.explode_outer(F.arrays_zip("starts", "values")).alias("w")).select(
+        F.col("w.values").alias("value"), F.struct("no", F.col("w.starts").alias("start")).alias("p"))
     index = place.groupBy("value").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).where("lo <> hi")
     other = F.when(F.col("p") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
-    hits = place.join(index, "value").select("p", other.alias("o")).groupBy(
-        F.col("p.t1").alias("t1"), F.col("p.t2").alias("t2")).agg(F.sort_array(F.collect_list(F.struct(
-            F.col("p.start").alias("start"), F.col("o.t1").alias("r1"), F.col("o.t2").alias("r2"),
-            F.col("o.start").alias("ref")))).alias("hits"))
-    parsed = materialise(hits.mapInArrow(_parsed, "t1 long, t2 long, factors array<struct<start:int,"
-                                         "words:int,r1:long,r2:long,ref:int>>"))
+    hits = place.join(index, "value").select("p", other.alias("o")).groupBy(F.col("p.no").alias("no")).agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.col("p.start").alias("start"), F.col("o.no").alias("ref_no"), F.col("o.start").alias("ref")))
+        ).alias("hits"))
+    parsed = materialise(hits.mapInArrow(_parsed, f"no long, factors {FACTORS}").join(named, "no"))
     return parsed.join(copies, ["t1", "t2"], "full")
 
 

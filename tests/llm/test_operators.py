@@ -137,8 +137,8 @@ def test_duplicate_windows_equal_brute_force(spark):
 
 
 def test_factors_follow_one_reference():
-    hits = [(0, 1, 1, 5), (1, 1, 1, 6), (2, 9, 9, 0), (3, 9, 9, 1), (50, 9, 9, 48)]
-    assert substrings.factors(hits) == [(0, 36, 1, 1, 5), (2, 36, 9, 9, 0), (50, 35, 9, 9, 48)]
+    hits = [(0, 1, 5), (1, 1, 6), (2, 9, 0), (3, 9, 1), (50, 9, 48)]
+    assert substrings.factors(hits) == [(0, 36, 1, 5), (2, 36, 9, 0), (50, 35, 9, 48)]
 
 
 def test_shards_are_gapless_and_near_equal(spark, docs):
