@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 
 DATA = Path("/root/testdata/sf0.001")
-LONG = " ".join(f"w{i * 7919 % 4001}" for i in range(40_000))
+LONG = " ".join(f"w{i * 7919 % 4001}" for i in range(6_000))
 
 #: doc_id, text, lang, source: NULLs in every column, empty and long texts, ties and repeated rows
 EDGES = [
