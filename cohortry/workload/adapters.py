@@ -146,6 +146,8 @@ FROM = {
 COLUMNS = {"tx": TX, "card": CARD, "merchant": MERCHANT, "tagging": TAGGING, "taxonomy": TAXONOMY,
            "location": LOCATION, "spine": SPINE}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+#: delivered beside them; here they are only counted
+TEXT_TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 # audiences: one per region, members by account balance; the last region has no members
 LOOKUP = (

@@ -527,7 +527,7 @@ ORACLES: dict[str, str] = {
                    f"{BAD_BALANCE} OR {BAD_DATE}) AS error_count, CAST(1 AS BIGINT) AS has_error "
                    "FROM customer",
     "row_counts": " UNION ALL ".join(f"SELECT '{t.upper()}' AS table_name, count(*) AS row_count "
-                                     f"FROM {t}" for t in A.TABLES),
+                                     f"FROM {t}" for t in [*A.TABLES, *A.TEXT_TABLES]),
     "audience_config": f"WITH {CONFIG} SELECT audience_id, name, replace(keywords, ',', '|') AS "
                        f"brand_keywords, {text('date_start', 'date_end')} FROM config",
     "enrich": fact_row(), "enrich_salted": fact_row(),

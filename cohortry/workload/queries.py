@@ -142,7 +142,7 @@ def load_report_totals(d):
 
 
 def q_row_counts(d):
-    return row_counts({t.upper(): d.table(t) for t in A.TABLES})
+    return row_counts({t.upper(): d.table(t) for t in [*A.TABLES, *A.TEXT_TABLES]})
 
 
 def audience_config(d):

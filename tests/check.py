@@ -9,7 +9,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def connect(sf_dir: str):
