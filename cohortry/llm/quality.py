@@ -18,7 +18,7 @@ from cohortry.operators import materialise
 from .common import lookup_join, ngrams, words
 
 #: Metric and the slack added to its fence, in thousandths: a group without spread still allows this much.
-SLACK = {"symbols_pm": 100, "dup_lines_pm": 75, "repeats_pm": 150, "capitals_pm": 150}
+SLACK = {"symbols_pm": 100, "dup_lines_pm": 75, "repeats_pm": 200, "capitals_pm": 150}
 SYMBOLS = r"[#*$%&|<>]"
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
