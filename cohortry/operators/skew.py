@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_MIN_ROWS = 1_000_000
-HOT_SHARE = 1 / 50_000
 HOT_MAX_KEYS = 5_000
 SKETCH_ITEMS = 262_144
 
@@ -24,13 +23,14 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS,
-                   share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``min_rows`` rows and ``share`` of all rows.
+                   share: float = 0.0, max_keys: int = HOT_MAX_KEYS) -> list[int]:
+    """Hashes of the keys that hold at least ``min_rows`` rows and, if given, ``share`` of all rows.
 
-    One pass over the key columns into a mergeable heavy-hitter sketch: no shuffle of rows, a
-    fixed-size result of at most ``HOT_MAX_KEYS`` hashes on the driver.
+    ``min_rows`` is what one task is to hold at most, so it does not grow with the table.  One pass over
+    the key columns into a mergeable heavy-hitter sketch: no shuffle of rows, a fixed-size result of at
+    most ``max_keys`` hashes, the most frequent, on the driver.
     """
-    items = F.expr(f"approx_top_k(_h, {HOT_MAX_KEYS}, {SKETCH_ITEMS})")
+    items = F.expr(f"approx_top_k(_h, {max_keys}, {SKETCH_ITEMS})")
     row = (df.select(key_hash(keys).alias("_h"))
              .agg(F.count(F.lit(1)).alias("n"), items.alias("top")).first())
     floor = max(min_rows, share * row["n"])
