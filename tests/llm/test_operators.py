@@ -334,6 +334,23 @@ def test_repeats_on_a_host_go(spark):
     assert got[9].startswith("all pages of this host") and got[None] == "" and got[5] == ""
 
 
+@pytest.mark.parametrize("held", [0, 200_000])
+def test_large_hosts_lose_what_small_ones_lose(spark, held):
+    def words(*at):
+        return " ".join(f"w{'_'.join(map(str, at))}_{k}" for k in range(12))
+    body = "<html><body><div>{}</div><p>{}</p></body></html>"
+    rows = [(i, f"http://h.example/{i}", body.format(words("two", i // 2), words("own", i))) for i in range(40)]
+    # quoted by one page inside its article: stays on the other
+    rows += [(40, "http://h.example/40", body.format(words("quoted"), words("own", 40))),
+             (41, "http://h.example/41", f"<article><p>{words('quoted')}</p></article>"),
+             (42, "http://h.example/42", "<p>short one</p>"), (43, "http://h.example/43", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for part_bytes in (4 << 20, 400):  # the host in one part; in some twenty slices
+        got = {r.page_id: r.text for r in extraction.extract(pages, part_bytes, held).collect()}
+        assert got == {i: words("own", i) for i in range(40)} | {
+            40: words("quoted") + "\n" + words("own", 40), 41: words("quoted"), 42: "short one", 43: ""}
+
+
 def test_repeats_equal_brute_force():
     rng = np.random.default_rng(2)
     tok = rng.integers(0, 3, 900).astype(np.uint64)
