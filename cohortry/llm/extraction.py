@@ -4,8 +4,9 @@ A page is cut into blocks at block-level tags.  Each block has a region: navigat
 like (by tag, role, class or id), the article, or neither.  The token streams of the pages of a host are
 concatenated; a suffix array of them, sorted to ``REPEAT`` tokens, shows every run of that many tokens that
 stands on two pages or more.  Such a run is boilerplate unless one of these pages has it inside an article:
-articles quote each other, and adverts quote articles, so that what an article says stays.  Boilerplate tokens go, blocks of
-the first kind go, and of the rest the article is kept, or everything where a page marks none.
+articles quote each other, and adverts quote articles, so that what an article says stays.  A run that NOTICE_SHARE
+per cent of the pages with an article, NOTICE_PAGES at least, have inside it is no quotation but a notice of the
+host, and is boilerplate too.  Boilerplate tokens go, blocks of the first kind go, and of the rest the article is kept, or everything where a page marks none.
 
 What a run is worth is decided from all pages of its host, whatever its size.  Page texts are dealt out by host
 and, for a host with more text than one task should hold, by a hash of the page; the suffix array of a part
@@ -33,6 +34,8 @@ from .tokens import mix, windows_hash, word_hashes
 
 REPEAT = 8
 PART_BYTES = 4 << 20
+#: Pages that must have a run inside the article, and their share of the host's pages with an article.
+NOTICE_PAGES, NOTICE_SHARE = 10, 80
 #: Runs that tasks hold as a set; beyond that they are joined to the pages.
 HELD_RUNS = 200_000
 
@@ -151,16 +154,28 @@ def _cover(starts: np.ndarray, n: int, length: int = REPEAT) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _goes(pages, inside):
-    """Whether a run is boilerplate, from the pages of its host that have it, and have it inside an article."""
-    return (pages >= 2) & (inside == 0)
+def _goes(pages, inside, marked):
+    """Whether a run is boilerplate, from the pages of its host that have it, that have it inside an article,
+    and that mark an article."""
+    return ((pages >= 2) & (inside == 0)) | ((inside >= NOTICE_PAGES) & _mostly(inside, marked))
+
+
+def _mostly(inside, marked):
+    return 100 * inside >= NOTICE_SHARE * marked
+
+
+def _per_run(order: np.ndarray, run: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each run from those of the tokens."""
+    return values[order[np.flatnonzero(np.diff(run, prepend=-1))]]
 
 
 def repeated(tokens: np.ndarray, host: np.ndarray, page: np.ndarray, block: np.ndarray, region: np.ndarray,
              length: int = REPEAT) -> np.ndarray:
     """Which tokens lie in a boilerplate run, where the arrays hold whole hosts; see :func:`runs`."""
     order, run, pages, inside = runs(tokens, host, page, block, region, length)
-    return _cover(order[_goes(pages, inside)[run]], len(tokens), length)
+    own = np.unique(np.stack((host, page))[:, region == ARTICLE], axis=1)[0]
+    marked = _per_run(order, run, np.bincount(own, minlength=host.max(initial=0) + 1)[host])
+    return _cover(order[_goes(pages, inside, marked)[run]], len(tokens), length)
 
 
 def _host_key(host: str | None) -> int:
@@ -206,25 +221,30 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _judge(table: pa.Table) -> pa.Table:
-    """Of the hosts that lie whole in a part the runs that go; one row without a run for every other host,
-    with its pages that mark an article and those that mark none."""
+    """Of the hosts that lie whole in a part the runs that go.  Of every other host its runs that are notices by
+    the pages of this part, for a notice of the host is one in some part; and a row without a run, with the
+    pages that mark an article and those that mark none."""
     pages = [list(zip(t.as_py(), r.as_py())) for t, r in zip(table.column("texts"), table.column("regions"))]
     own = _Stream(pages, table.column("host").to_pylist())
     whole = np.array(table.column("whole").to_pylist(), dtype=bool)
     names, host = np.unique(own.hosts, return_inverse=True)
+    marked = np.bincount(host, weights=own.marked, minlength=len(names)).astype(np.int64)
+    unmarked = np.bincount(host, weights=~own.marked, minlength=len(names)).astype(np.int64)
     order, run, n, inside = runs(own.tokens, host[own.page], own.page, own.block, own.region)
+    of = _per_run(order, run, marked[host][own.page])
     mine = whole[own.page[order]]
-    gone = order[mine & own.use[order] & _goes(n, inside)[run]]
-    keys = np.unique(own.keys(gone))
+    gone = np.unique(own.keys(order[mine & own.use[order] & _goes(n, inside, of)[run]]))
+    some = order[~mine & ((inside > 0) & _mostly(inside, of))[run]]
+    maybe, first = np.unique(own.keys(some), return_index=True)
     rest = np.flatnonzero(np.bincount(host, weights=~whole, minlength=len(names)))
-    marked = np.bincount(host, weights=own.marked, minlength=len(names)).astype(np.int64)
-    unmarked = np.bincount(host, weights=~own.marked, minlength=len(names)).astype(np.int64)
-    none = [None] * len(keys)
-    return pa.table({
-        "run": pa.array([*keys.tolist(), *[None] * len(rest)], pa.int64()),
-        "host": pa.array([*none, *names[rest].tolist()], pa.int64()),
-        "marked": pa.array([*none, *marked[rest].tolist()], pa.int64()),
-        "unmarked": pa.array([*none, *unmarked[rest].tolist()], pa.int64())})
+
+    def rows(*parts):
+        return pa.array([x for part in parts for x in part], pa.int64())
+    less, none = [None] * len(gone), [None] * len(maybe)
+    return pa.table({"run": rows(gone.tolist(), maybe.tolist(), [None] * len(rest)),
+                     "host": rows(less, own.hosts[own.page[some[first]]].tolist(), names[rest].tolist()),
+                     "marked": rows(less, none, marked[rest].tolist()),
+                     "unmarked": rows(less, none, unmarked[rest].tolist())})
 
 
 def _streams(batches: Iterator[pa.RecordBatch], wanted: Callable[[int], bool] = lambda host: True
@@ -240,13 +260,16 @@ def _streams(batches: Iterator[pa.RecordBatch], wanted: Callable[[int], bool] =
                                     [h for h in hosts if wanted(h)])
 
 
-def _page_runs(whole: frozenset[int]):
-    """Every run of each page of the hosts in ``whole``, once a page: whether the page has it inside an
-    article, and whether where its text can come out."""
+def _page_runs(whole: frozenset[int], some: frozenset[int], maybe: np.ndarray):
+    """Every run of each page of the hosts in ``whole``, and those in ``maybe`` of the hosts in ``some``, once a
+    page: whether the page has it inside an article, and whether where its text can come out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in _streams(batches, lambda host: host in whole):
+        every = np.array(sorted(whole), dtype=np.int64)
+        for _, own in _streams(batches, lambda host: host in whole or host in some):
             at = _starts(own.block)
             keys = own.keys(at)
+            wanted = np.isin(keys, maybe) | np.isin(own.hosts[own.page[at]], every)
+            at, keys = at[wanted], keys[wanted]
             order = np.lexsort((keys, own.page[at]))
             at, keys = at[order], keys[order]
             page = own.page[at]
@@ -302,7 +325,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
 
 
-def boilerplate(own: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+def boilerplate(own: DataFrame, part_bytes: int = PART_BYTES, held_runs: int = HELD_RUNS) -> DataFrame:
     """``run``: keys of the runs that go, from all pages of each host."""
     weight = F.coalesce(F.octet_length("html"), F.lit(0)) + 64
     load = own.groupBy("host").agg(F.sum(weight).alias("w"))
@@ -316,16 +339,26 @@ def boilerplate(own: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
                         .mapInArrow(_parse, "_part long, whole boolean, host long, texts array<string>, "
                                     "regions array<int>")
                         .groupBy("_part").applyInArrow(_judge, "run long, host long, marked long, unmarked long"))
-    gone = found.where("run is not null").select("run")
-    # the hosts of several slices: at most total / part_bytes of them; a page that marks an article gives none of
-    # the runs that can go
-    hosts = found.where("run is null").groupBy("host").agg(F.sum("marked").alias("marked"),
-                                                           F.sum("unmarked").alias("unmarked"))
+    gone = found.where("run is not null and host is null").select("run")
+    # the hosts of several slices: at most total / part_bytes of them.  Where all pages mark an article only notices
+    # can go, which are few: more than held_runs are counted as all runs of their hosts
+    hosts = materialise(found.where("run is null").groupBy("host").agg(
+        F.sum("marked").alias("marked"), F.sum("unmarked").alias("unmarked")))
     whole = frozenset(r["host"] for r in hosts.where("unmarked > 0").select("host").collect())
-    if whole:
-        counted = own.mapInArrow(_page_runs(whole), "run long, host long, inside long, use boolean").groupBy(
-            "run").agg(F.count("*").alias("pages"), F.sum("inside").alias("inside"), F.max("use").alias("use"))
-        gone = gone.union(counted.where(F.col("use") & _goes(F.col("pages"), F.col("inside"))).select("run"))
+    notices = found.where("run is not null and host is not null").select("run", "host").distinct()
+    some = frozenset(r["host"] for r in notices.select("host").distinct().collect())
+    if small(notices, held_runs):
+        maybe = np.array([r["run"] for r in notices.select("run").collect()], dtype=np.int64)
+    else:
+        maybe, whole = np.zeros(0, dtype=np.int64), whole | some
+    if whole or some:
+        counted = own.mapInArrow(_page_runs(whole, some, maybe),
+                                 "run long, host long, inside long, use boolean").groupBy("run").agg(
+            F.min("host").alias("host"), F.count("*").alias("pages"), F.sum("inside").alias("inside"),
+            F.max("use").alias("use"))
+        known = lookup_join(counted, hosts.select("host", "marked"), ["host"], 100_000)
+        gone = gone.union(known.where(F.col("use") & _goes(F.col("pages"), F.col("inside"), F.col("marked")))
+                          .select("run"))
     return materialise(gone)
 
 
@@ -338,7 +371,7 @@ def extract(pages: DataFrame, part_bytes: int = PART_BYTES, held_runs: int = HEL
     runs that a task holds, changes a text.
     """
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    gone, schema = boilerplate(own, part_bytes), "page_id long, url string, text string"
+    gone, schema = boilerplate(own, part_bytes, held_runs), "page_id long, url string, text string"
     if small(gone, held_runs):
         held = np.array([r["run"] for r in gone.collect()], dtype=np.int64)
         return own.mapInArrow(_texts(held), schema)

@@ -351,6 +351,23 @@ def test_large_hosts_lose_what_small_ones_lose(spark, held):
             40: words("quoted") + "\n" + words("own", 40), 41: words("quoted"), 42: "short one", 43: ""}
 
 
+@pytest.mark.parametrize("held", [0, 200_000])
+def test_notices_inside_articles_go(spark, held):
+    def words(*at):
+        return " ".join(f"w{'_'.join(map(str, at))}_{k}" for k in range(12))
+    body = "<main><p>{}</p><div>{}</div></main>"
+    rows = [(i, f"http://h.example/{i}", body.format(words("own", i), words("notice"))) for i in range(20)]
+    rows += [(20 + i, f"http://h.example/q{i}", body.format(words("own", 20 + i), words("quoted"))) for i in range(4)]
+    # too few pages to tell a notice from a quotation
+    rows += [(30 + i, f"http://few.example/{i}", body.format(words("own", 30 + i), words("notice"))) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for part_bytes in (4 << 20, 2000):  # the host in one part; in slices
+        got = {r.page_id: r.text for r in extraction.extract(pages, part_bytes, held).collect()}
+        assert got == {i: words("own", i) for i in range(20)} | {
+            20 + i: words("own", 20 + i) + "\n" + words("quoted") for i in range(4)} | {
+            30 + i: words("own", 30 + i) + "\n" + words("notice") for i in range(9)}
+
+
 def test_repeats_equal_brute_force():
     rng = np.random.default_rng(2)
     tok = rng.integers(0, 3, 900).astype(np.uint64)
