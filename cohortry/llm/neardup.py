@@ -1,6 +1,6 @@
 """Near duplicates by MinHash with odd sketches.
 
-A text's set is its distinct four-word shingles.  BANDS bands of ROWS MinHash values name buckets; a pair
+A text's set is its distinct shingles, of four words unless told otherwise.  BANDS bands of ROWS MinHash values name buckets; a pair
 at similarity 0.8 meets in one with probability 1 - 5e-6.  The MinHash samples are also folded into a
 bitmap of parities, the odd sketch: the bits in which two bitmaps differ tell how many samples differ,
 most precisely where few do.  Only pairs whose sketches allow the similarity are compared on full sets.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -62,14 +63,14 @@ def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> Iterator[np.ndar
             yield hashes[:0]
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     seeds = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * ODD)
     a, b = seeds[:SAMPLES].astype(np.uint32) | np.uint32(1), seeds[SAMPLES:].astype(np.uint32)
     spread = mix(np.arange(7, SAMPLES + 7, dtype=np.uint64) * ODD)
     for batch in batches:
         for part, texts in chunks(batch):
             n, key, bands, sketches = [], [], [], []
-            for s in shingle_sets(texts):
+            for s in shingle_sets(texts, shingle):
                 n.append(len(s))
                 if not len(s):
                     key.append((0, 0)), bands.append([]), sketches.append([])
@@ -92,10 +93,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "t1", "t2", "n", "k1", "k2", "bands", "sketch"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in chunks(batch):
-            sets = [s.view(np.int64) for s in shingle_sets(texts)]
+            sets = [s.view(np.int64) for s in shingle_sets(texts, shingle)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("cid"), pa.array(sets, pa.list_(pa.int64()))], names=["cid", "set"])
 
@@ -125,12 +126,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+def _full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """``cid, set`` of the classes in ``ids``, from one of their texts each."""
     wanted = ids.distinct().join(classes.select("cid", "t1", "t2"), "cid")
     texts = text_keys(docs.select("text")).join(wanted, ["t1", "t2"]).groupBy("cid").agg(
         F.first("text").alias("text"))
-    return materialise(texts.mapInArrow(_sets, "cid long, set array<long>"))
+    return materialise(texts.mapInArrow(partial(_sets, shingle=shingle), "cid long, set array<long>"))
 
 
 def _joining(table: pa.Table) -> pa.Table:
@@ -187,7 +188,8 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _joining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+def _joining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame,
+                   shingle: int) -> DataFrame:
     """Links ``a, b`` between texts of different components that meet in a bucket, enough to join these."""
     group = members.select(F.col("lo").alias("c"), "cid").distinct().join(roots, "cid", "left").withColumn(
         "root", F.coalesce("root", "cid"))
@@ -195,7 +197,7 @@ def _joining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, root
                                    F.count("*").alias("n")).where("x <> y").select(
         "c", F.ceil(F.col("n") / CHUNK).alias("chunks"))
     todo = materialise(group.join(mixed, "c").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks"))))
-    whole = _full_sets(docs, classes, todo.select("cid")).join(classes.select("cid", "sketch"), "cid")
+    whole = _full_sets(docs, classes, todo.select("cid"), shingle).join(classes.select("cid", "sketch"), "cid")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     dealt = todo.withColumn("o", other).select(
         "c", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "cid", "root"
@@ -203,15 +205,16 @@ def _joining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, root
     return dealt.groupBy("c", "i", "j").applyInArrow(_joining, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     """``doc_id, t1, t2`` (hashes of the text), ``n`` (set size) and ``root``, the same for all texts of a
     component; NULL for a text without words, which is linked with nothing.
 
     NULL text counts as empty, NULL ids are rows like others, repeated rows give repeated rows; an empty
-    table gives none.  Texts are read whole; all links of similarity 0.8 or more count.
+    table gives none.  Texts are read whole; all links of similarity 0.8 or more, on shingles of ``shingle``
+    words, count.
     """
     table = materialise(text_keys(docs.select("doc_id", "text")).mapInArrow(
-        _signatures, "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, bands array<long>, "
+        partial(_signatures, shingle=shingle), "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, bands array<long>, "
         "sketch array<long>"))
     classes = materialise(table.where("n > 0").groupBy("k1", "k2").agg(
         F.min(F.struct("t1", "t2")).alias("t"), F.first("bands").alias("bands"),
@@ -229,11 +232,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         star.join(light.withColumnsRenamed({"cid": "a"}), "a")
         .join(light.withColumnsRenamed({"cid": "b", "sketch": "sketch2"}), "b").where(_near())
         .select("a", "b"))
-    sets = _full_sets(docs, classes, first.select(F.col("a").alias("cid")).union(first.select("b")))
+    sets = _full_sets(docs, classes, first.select(F.col("a").alias("cid")).union(first.select("b")), shingle)
     links = materialise(_verified(first, sets))
     roots = connected_components(links)
     light_roots = roots.withColumnRenamed("node", "cid")
-    more = materialise(_joining_links(docs, classes, members, light_roots))
+    more = materialise(_joining_links(docs, classes, members, light_roots, shingle))
     final = connected_components(links.union(more)).withColumnRenamed("node", "cid")
     named = classes.select("k1", "k2", "cid").join(final, "cid", "left").select(
         "k1", "k2", F.coalesce("root", "cid").alias("root"))
@@ -244,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op5(docs: DataFrame) -> DataFrame:
     """Component of each document, in the columns of the contract.  A component of NULL ids has none."""
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, SHINGLE)
     least = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = found.join(least, "root", "left").withColumn(
         "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
@@ -252,10 +255,10 @@ def op5(docs: DataFrame) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def stage(docs: DataFrame) -> DataFrame:
+def stage(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, that of the least id; of repeated rows one.  Documents without
-    words stay."""
-    found = near_duplicates(docs)
+    words stay.  ``shingle`` is the number of words that similarity counts by."""
+    found = near_duplicates(docs, shingle)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
     keep = found.where("root is not null").groupBy("root").agg(F.min(row).alias("r")).select(
         F.col("r.doc_id").alias("_id"), F.col("r.t1").alias("t1"), F.col("r.t2").alias("t2")).union(

@@ -97,6 +97,23 @@ def test_stage_keeps_one_of_each_group(spark, docs, clash):
     assert kept.count() == n + none
 
 
+def test_stage_takes_five_words(spark):
+    """One middle word differs in texts of 30 to 60 words: some pairs are near on four words only."""
+    texts = []
+    for n in range(30, 60, 3):
+        words = [f"w{n}_{k}" for k in range(n)]
+        texts += [" ".join(words), " ".join(words[:n // 2] + ["other"] + words[n // 2 + 1:])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def near(n):
+        sets = [shingles(t, n) for t in texts]
+        return {b for b in range(1, len(texts), 2)
+                if 100 * len(sets[b] & sets[b - 1]) >= 80 * len(sets[b] | sets[b - 1])}
+    assert near(5) < near(4)
+    assert {r.doc_id for r in neardup.stage(df, 5).collect()} == set(range(len(texts))) - near(5)
+    assert {r.doc_id for r in neardup.op5(df).where("kept").collect()} == set(range(len(texts))) - near(4)
+
+
 def test_word_hashes_are_those_of_the_words():
     texts = [b"a bb  ccc\n", b"", b" \t ", "é A".encode(), b"bb a"]
     h, at = tokens.word_hashes(texts)
