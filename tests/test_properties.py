@@ -73,3 +73,32 @@ def test_build_all(spark, domain, tmp_path):
     assert rows(built["rfm_features"]) == rows(rfm_features(_fact(domain), date(2001, 6, 30)))
     assert built["attributes"].count() == built["person_rollup"].count() == _attrs(domain).count()
     assert len(list((tmp_path / "fact").glob("trans_month=*"))) > 12
+
+
+@pytest.mark.parametrize("failed", [None, {"mode": "incremental"}, {"mode": "incremental", "lookback_days": 40},
+                                    {"mode": "range", "start": date(2001, 1, 20), "end": date(2001, 2, 10)}])
+def test_a_run_that_fails_before_the_summary_is_made_good(spark, domain, tmp_path, monkeypatch, failed):
+    import cohortry.plans.build as module
+    dates = sorted(r[0] for r in domain.tx.select("trans_date").distinct().collect())
+    middle, late = dates[len(dates) // 3], dates[2 * len(dates) // 3]
+
+    def run(tx, **kw):
+        module.build_fact(spark, {"transaction": tx, "card": domain.card, "merchant": domain.merchant,
+                                  "brand_tagging": domain.tagging, "brand_taxonomy": domain.taxonomy,
+                                  "brand_location": domain.location, "control": domain.control,
+                                  "exposed": domain.exposed}, str(tmp_path), **kw)
+
+    def crash(*args, **kw):
+        raise RuntimeError("lost")
+    upto = domain.tx.where(F.col("trans_date") <= F.lit(late))
+    if failed is not None:
+        run(upto.where((F.col("trans_date") <= F.lit(middle)) & (F.hash("txid") % 2 == 0)), mode="full")
+    with monkeypatch.context() as m:
+        m.setattr(module, "daily_summary", crash)
+        with pytest.raises(RuntimeError):
+            run(upto, **(failed or {"mode": "full"}))
+    run(domain.tx, mode="incremental")
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    got = spark.read.parquet(str(tmp_path / "daily_summary"))
+    assert rows(got.select("trans_date", "individual_id", "transaction_count")) == rows(
+        daily_summary(stored).select("trans_date", "individual_id", "transaction_count"))
