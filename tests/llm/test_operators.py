@@ -80,6 +80,22 @@ def test_odd_sketch_estimates():
     assert neardup._shared(sets, sets).tolist() == [[400, 0], [0, 400]]
 
 
+def test_sketch_filter_misses_less_than_the_bands():
+    """At similarity 0.8 each sample differs with probability 0.2; one that does flips two random bits."""
+    size, samples = neardup.SKETCH_BITS, neardup.SAMPLES
+    odd = np.zeros(size + 1)  # probability of so many odd bits
+    odd[0] = 1
+    at = np.arange(size + 1)
+    lost, chance = 0.0, 0.8 ** samples
+    for d in range(samples + 1):
+        lost += chance * odd[neardup.differing_bits(neardup.ESTIMATE) + 1:].sum()
+        chance *= (samples - d) / (d + 1) * 0.25
+        for _ in range(2):
+            odd = np.concatenate(([0], (odd * (size - at) / size)[:-1])) + np.concatenate(((odd * at / size)[1:], [0]))
+    bands = (1 - 0.8 ** neardup.ROWS) ** neardup.BANDS
+    assert lost < bands
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 20)] + [(200, 200)]
     got = collections.defaultdict(set)
