@@ -5,7 +5,7 @@ the seats it has.  The rule is house-monotone: more seats in all never take one
 quota of shard j is what the apportionment of all blocks up to shard j gives beyond that of the shards
 before it, an integer that is never negative, and every shard holds the target shares.  Within a source a
 seeded order of the documents lays their words out as one stream; its blocks are taken in that order,
-around the stream again where the quota exceeds the source.
+around the stream again where the quota exceeds the source.  :func:`mix` takes the words of all shards together.
 
 Only DataFrame functions are used.  Windows run over sources, or over one of ``SLICES`` hash slices of a
 source, never over all documents of one.
@@ -65,11 +65,19 @@ def quotas(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> Data
         "seats_all", F.floor(F.col("total") / block + 0.5))
     houses = total.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
         "house", F.expr(f"seats_all * (shard + 1) div {shards}"))
-    # the fair share less two seats is surely won; the next five are ranked by quotient
-    share = F.when(F.col("total") > 0, F.col("target") * F.col("house") / F.col("total")).otherwise(0.0)
-    sure = houses.withColumn("sure", F.greatest(F.floor(share) - 2, F.lit(0)).cast("long"))
+    # a source has target / d seats, rounded, for a common divisor d; as n sources round by half a seat at most, d lies
+    # between total / (house + n / 2) and total / (house - n / 2).  What the greatest d gives, less one seat for ties,
+    # is surely won, and what the least gives, plus one, is not exceeded; the seats between, four a source on
+    # average, are ranked by quotient
+    def bound(sources):
+        return F.floor(F.when(F.col("total") > 0, F.col("target") * (F.col("house") + sources / 2) / F.col("total"))
+                       .otherwise(0.0) + 0.5).cast("long")
+    houses = houses.withColumn("sources", F.sum(F.when(F.col("target") > 0, 1).otherwise(0)).over(
+        Window.partitionBy("shard")))
+    sure = houses.withColumn("sure", F.greatest(bound(-F.col("sources")) - 1, F.lit(0))).withColumn(
+        "most", bound(F.col("sources")) + 1)
     sure = sure.withColumn("left", F.col("house") - F.sum("sure").over(Window.partitionBy("shard")))
-    seats = sure.withColumn("k", F.explode(F.sequence(F.col("sure"), F.col("sure") + 4)))
+    seats = sure.withColumn("k", F.explode(F.sequence(F.col("sure"), F.col("most"))))
     ranked = seats.withColumn("rank", F.row_number().over(Window.partitionBy("shard").orderBy(
         (F.col("target") / (2 * F.col("k") + 1)).desc(), F.col("source").asc_nulls_last())))
     upto = ranked.groupBy("shard", "source").agg(

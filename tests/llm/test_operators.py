@@ -250,6 +250,22 @@ def test_quotas_are_sainte_lague(spark):
     assert {k: v for k, v in total.items() if v} == dict(want)
 
 
+def test_quotas_of_many_small_sources(spark):
+    import heapq
+    small, hot, house = 2000, 1001.0, 10_000
+    rows = [(f"s{i:04}", 1.0 + i % 2 * 0.01) for i in range(small)] + [("hot", hot)]
+    want = collections.Counter()
+    heap = [(-t, s, t) for s, t in rows]
+    heapq.heapify(heap)
+    for _ in range(house):
+        _, s, t = heap[0]
+        want[s] += 1
+        heapq.heapreplace(heap, (-t / (2 * want[s] + 1), s, t))
+    block = sum(t for _, t in rows) / house
+    got = mixing.quotas(spark.createDataFrame(rows, "source string, target double"), block=block, shards=1)
+    assert {r.source: r.seats for r in got.collect() if r.seats} == dict(want)
+
+
 def test_targets_are_refilled(spark):
     """Targets stop at three times the size; what is over goes to the others by weight."""
     sizes = [("a", 10), ("b", 1000), ("c", 5), ("d", 300), (None, 40)]
