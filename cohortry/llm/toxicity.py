@@ -173,19 +173,24 @@ def _scorer(lexicon: dict[str, float], machine, weights: np.ndarray):
     return run
 
 
+def drawn(labelled: DataFrame, bound: int) -> DataFrame:
+    """``toxic, text`` of about ``bound`` labelled rows, or of all if there are no more."""
+    taught = labelled.where("toxic in (0, 1)").select(
+        F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text"),
+        F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "text"), F.lit(1 << 30)).alias("draw"))
+    share = bound / max(bound, taught.count())
+    return taught.where(F.col("draw") < int(share * (1 << 30))).drop("draw")
+
+
 def toxicity(docs: DataFrame, labelled: DataFrame, bound: int = LABELLED) -> DataFrame:
-    """``doc_id, score`` of every row of ``docs``, learned from ``text`` and ``toxic`` (0 or 1) of
+    """``doc_id, score`` of every row of ``docs``, learned from ``doc_id, text`` and ``toxic`` (0 or 1) of
     ``labelled``.
 
     NULL and empty texts match nothing and get the score of such texts, as do all texts when one of the
     two labels is missing.  Labelled rows with another label or none teach nothing.  Above ``bound`` rows
-    a hash of the text chooses; reruns agree.
+    a hash of id and text chooses, so of many equal texts a part; equal texts go to the same half.  Reruns agree.
     """
-    taught = labelled.where("toxic in (0, 1)").select(
-        F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text"),
-        F.pmod(F.xxhash64(F.lit("draw"), "text"), F.lit(1 << 30)).alias("draw"))
-    share = bound / max(bound, taught.count())
-    sample = materialise(taught.where(F.col("draw") < int(share * (1 << 30))))
+    sample = materialise(drawn(labelled, bound))
     half = F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2))
     lexicon = learn_lexicon(sample.where(half == 0))
     machine = _compose([AIMED, NEGATED, REPORTED])

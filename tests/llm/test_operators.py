@@ -474,6 +474,13 @@ def test_toxic_documents_are_found(spark):
     assert sum(s.predicted == t for s, t in held) >= 0.93 * len(held)
 
 
+def test_sample_of_labels_is_bounded_with_copies(spark):
+    rows = [(i, "one text" if i % 3 == 0 else f"text {i}", 1) for i in range(3000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = collections.Counter(r.text == "one text" for r in toxicity.drawn(labelled, 600).collect())
+    assert 500 < got.total() < 700 and 140 < got[True] < 260
+
+
 def test_grammar_tells_kinds_apart():
     machine = toxicity._compose([toxicity.AIMED, toxicity.NEGATED, toxicity.REPORTED])
     lex = {"idiot": 1.0}
