@@ -17,8 +17,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *by):
-    """Rows as sorted tuples, for comparing small frames."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 """Hot keys: detection, spreading, and equality with the plain way."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from cohortry.operators import (cluster, hot_key_hashes, is_hot, label_membership, left_enrich,

@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from cohortry import schemas
