@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (chat, decontamination, extraction, language, mixing, neardup, quality, sharding,
+from . import (chat, decontamination, divergence, extraction, language, mixing, neardup, quality, sharding,
                substrings, toxicity)
 from .common import read
 
@@ -19,6 +19,8 @@ QUERIES = {
         read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op9_quality_rules": lambda spark, d: quality.op9(read(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.op10(read(spark, d, "documents")),
+    "op11_fp_tree": lambda spark, d: divergence.op11(read(spark, d, "documents")),
 }
 
-ORACLES = {"op6_chat": chat.SQL, "op4_relative_lz": substrings.SQL, "op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL}
+ORACLES = {"op6_chat": chat.SQL, "op4_relative_lz": substrings.SQL, "op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL,
+           "op11_fp_tree": divergence.SQL}
