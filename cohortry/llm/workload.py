@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (chat, decontamination, divergence, extraction, language, mixing, neardup, quality, sharding,
-               substrings, toxicity)
+from . import (chat, decontamination, divergence, extraction, language, mixing, neardup, quality, repair, sharding,
+               substrings, toxicity, urls)
 from .common import read
 
 QUERIES = {
@@ -20,7 +20,11 @@ QUERIES = {
     "op9_quality_rules": lambda spark, d: quality.op9(read(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.op10(read(spark, d, "documents")),
     "op11_fp_tree": lambda spark, d: divergence.op11(read(spark, d, "documents")),
+    "op12_dawg": lambda spark, d: repair.op12(read(spark, d, "conversations")),
+    "op13_url_models": lambda spark, d: urls.op13(read(spark, d, "pages")),
 }
 
 ORACLES = {"op6_chat": chat.SQL, "op4_relative_lz": substrings.SQL, "op8_decontamination": decontamination.SQL, "op9_quality_rules": quality.SQL, "op10_mixing": mixing.SQL,
-           "op11_fp_tree": divergence.SQL}
+           "op12_dawg": lambda spark, d: repair.op12(read(spark, d, "conversations")),
+    "op11_fp_tree": divergence.SQL, "op12_dawg": repair.SQL,
+           "op13_url_models": urls.SQL}

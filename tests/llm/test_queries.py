@@ -9,7 +9,7 @@ from cohortry.llm.workload import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     assert compare(spark, con, sf_dir, name, QUERIES[name], ORACLES[name]) is None
 
