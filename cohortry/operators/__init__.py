@@ -13,4 +13,4 @@ from .quality import expr_true, not_null, report, unique, unique_combo
 from .sets import cohort_except, cohort_intersect, cohort_union
 from .skew import hot_key_hashes, is_hot, split_hot
 from .stats import category_importance, category_shares, numeric_profile
-from .topn import cluster, ranked, size_band, top_n
+from .topn import cluster, score_cut, top_n, with_rank

@@ -4,78 +4,93 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .materialise import materialise
 
-#: up to here Spark's TakeOrdered (every task keeps n rows, one task merges them) is cheap
-TAKE_ORDERED_LIMIT = 10_000
+#: Intervals a round of the search counts, and rows of one range of ranks, which one task sorts.
+BUCKETS, RANGE_ROWS = 4096, 1_000_000
 
 
-def top_n(df: DataFrame, score: str, tiebreak: str, n: int,
-          take_ordered_limit: int = TAKE_ORDERED_LIMIT) -> DataFrame:
-    """The ``n`` rows with the highest score, ties to the lowest ``tiebreak``; NULL scores last.
+def _kind(value: Column) -> Column:
+    """The groups of scores in rank order: NaN, infinity, numbers, minus infinity, NULL."""
+    return (F.when(value.isNull(), 4).when(F.isnan(value), 0).when(value == float("inf"), 1)
+            .when(value == float("-inf"), 3).otherwise(2))
 
-    A large ``n`` must not meet in one task.  Rows are range-partitioned on (score, tiebreak) - the
-    tiebreak splits even a score shared by a third of all rows - and stored; counting the stored
-    partitions tells which are taken whole, and only the one partition on the boundary is cut.
-    """
-    order = [F.col(score).desc_nulls_last(), F.col(tiebreak).asc()]
-    if n <= take_ordered_limit:
-        return df.orderBy(*order).limit(n)
-    stored = ranked(df, score, tiebreak)
-    place = locate(range_sizes(stored), n)
-    if place is None:
-        return stored.drop("_part")
-    boundary, left = place
-    taken = stored.where(F.col("_part") < boundary)
-    cut = stored.where(F.col("_part") == boundary).orderBy(*order).limit(left)
-    return taken.unionByName(cut).drop("_part")
-
-
-def ranked(df: DataFrame, score: str, tiebreak: str) -> DataFrame:
-    """Rows stored in rank order, ``_part`` numbering the ascending rank ranges."""
-    order = [F.col(score).desc_nulls_last(), F.col(tiebreak).asc()]
-    return materialise(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
-
-
-def range_sizes(stored: DataFrame) -> list[tuple[int, int]]:
-    """(range, rows) in rank order: one pair per stored range."""
-    return sorted((r["_part"], r["count"]) for r in stored.groupBy("_part").count().collect())
 
+def score_cut(df: DataFrame, score: str, n: int, slack: int = RANGE_ROWS, buckets: int = BUCKETS) -> tuple[Column, int]:
+    """(condition, rows): the best scores that hold the ``n`` best rows, with all rows of the last score.
 
-def locate(ranges: Sequence[tuple[int, int]], n: int) -> tuple[int, int] | None:
-    """(range, position within it) of the ``n``-th ranked row; ``None`` if there are fewer rows."""
-    left = n
-    for part, count in ranges:
-        if count >= left:
-            return part, left
-        left -= count
-    return None
-
-
-def size_band(stored: DataFrame, score: str, tiebreak: str, sizes: Sequence[int]) -> Column:
-    """Index of the smallest of the ascending ``sizes`` whose top-n holds the row.
-
-    Each size costs a look at one stored range, to read its last member; rows are then placed by
-    comparing with those members.  The tiebreak must be unique.
+    A selection by histograms.  The range of the scores is counted in ``buckets`` equal intervals, the one in
+    which the ``n``-th row falls is counted again from its least to its highest score, and so on until the
+    scores above and in it are at most ``n + slack`` rows or it is a single score.  A round is one aggregate
+    with a bounded result, and needs the score column alone; no row is moved.  Scores are compared as doubles.
+    """
+    value = F.col(score).cast("double")
+    whole = df.select(value.alias("v"), _kind(value).alias("k"))
+    kinds = {r["k"]: r for r in whole.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}  # 5 rows at most
+    above = 0
+    for k in sorted(kinds):
+        if above + kinds[k]["n"] >= n and n > 0:
+            break
+        above += kinds[k]["n"]
+    else:
+        return F.lit(n > 0), above if n > 0 else 0
+    inside, low, high = kinds[k]["n"], kinds[k]["low"], kinds[k]["high"]
+    if k == 2:
+        while low < high and above + inside > n + slack:
+            # halves keep the width finite; each step is monotone, so buckets follow the scores
+            at = F.least(F.lit(buckets - 1), F.floor((F.col("v") / 2 - low / 2) / (high / 2 - low / 2) * buckets))
+            counts = whole.where((F.col("k") == 2) & F.col("v").between(low, high)).groupBy(at.alias("b")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+            for r in sorted(counts, key=lambda r: -r["b"]):
+                inside, low, high = r["n"], r["low"], r["high"]
+                if above + inside >= n:
+                    break
+                above += inside
+            if len(counts) == 1:  # neighbouring doubles that the division does not tell apart
+                break
+    kind = _kind(value)
+    return (kind < k) | ((kind == k) & (value >= low) if k == 2 else kind == k), above + inside
+
+
+def with_rank(df: DataFrame, score: str, tiebreak: str, rank: str = "rank", rows: int | None = None,
+              range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``df`` with the place of each row by highest score, ties to the lowest ``tiebreak``, from 1 without gaps.
+
+    NULL scores come last, NULL tiebreaks first; rows equal in both go by their other columns.  Rows are
+    range-partitioned in that order into ranges of about ``range_rows``, sorted and stored with their place in
+    the range; a rank is this place plus the rows of the ranges before, which are counted from the stored table.
+    """
+    rows = df.count() if rows is None else rows
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")])
+    order = [F.col(score).desc_nulls_last(), F.col(tiebreak).asc_nulls_first(), rest]
+    placed = materialise(df.repartitionByRange(max(1, -(-rows // range_rows)), *order).sortWithinPartitions(*order)
+                         .withColumn("_at", F.monotonically_increasing_id()))  # range in the high bits, place below
+    part = F.shiftright("_at", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # one row a range, as many as the rows asked for allow
+    return placed.join(F.broadcast(sizes), part == F.col("_part")).withColumn(
+        rank, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_part", "_before")
+
+
+def top_n(df: DataFrame, score: str, tiebreak: str, n: int, rank: str | None = None,
+          range_rows: int = RANGE_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """The ``n`` rows with the highest score, ties to the lowest ``tiebreak``; NULL scores last.  ``rank`` names a
+    column for their places.
+
+    One way for every ``n``: the rows are stored, a search over their scores alone drops the others, and only
+    the rest is ranked.  No range of ranks is larger than a task takes, even if a third of all rows share a score.
     """
-    order = [F.col(score).desc_nulls_last(), F.col(tiebreak).asc()]
-    band, ranges = F.lit(len(sizes)), range_sizes(stored)
-    for i, n in reversed(list(enumerate(sizes))):
-        place = locate(ranges, n)
-        if place is None:
-            band = F.lit(i)
-            continue
-        part, position = place
-        last = stored.where(F.col("_part") == part).orderBy(*order) \
-            .offset(position - 1).limit(1).first()
-        s, t = F.col(score), F.col(tiebreak) <= F.lit(last[tiebreak])
-        inside = s.isNotNull() | t if last[score] is None else \
-            F.coalesce((s > F.lit(last[score])) | ((s == F.lit(last[score])) & t), F.lit(False))
-        band = F.when(inside, F.lit(i)).otherwise(band)
-    return band
+    stored = materialise(df)
+    inside, rows = score_cut(stored, score, n, range_rows, buckets)
+    name = rank or "_rank"
+    best = with_rank(stored.where(inside), score, tiebreak, name, rows, range_rows).where(F.col(name) <= n)
+    return best if rank else best.drop(name)
 
 
 def cluster(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

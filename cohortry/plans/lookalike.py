@@ -115,7 +115,12 @@ def score_population(pop: DataFrame, numeric: Sequence[str] = tuple(codes.NUMERI
 
 
 def lookalike_scores(pop: DataFrame, n: int | None = None, id_col: str = "individual_id",
-                     **fields) -> DataFrame:
-    """Scored population, ranked and cut to the best ``n`` when ``n`` is given."""
+                     digits: int | None = None, **fields) -> DataFrame:
+    """Scored population; with ``n`` its best ``n`` with their ``rank`` from 1, ties to the lowest id.
+
+    Ranks go by the score rounded to ``digits`` where given, so that they do not depend on the order of sums.
+    """
     scored = score_population(pop, id_col=id_col, **fields)
-    return scored if n is None else top_n(scored, "similarity_score", id_col, n)
+    if digits is not None:
+        scored = scored.withColumn("similarity_score", F.round("similarity_score", digits))
+    return scored if n is None else top_n(scored, "similarity_score", id_col, n, rank="rank")

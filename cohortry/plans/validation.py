@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortry.functions import in_range, keyword_match, ratio
-from cohortry.operators import (latest_version, materialise, prune_months, ranked, size_band)
+from cohortry.operators import (latest_version, materialise, prune_months, top_n)
 
 NAME_COLUMNS = ("brand_name", "store_name", "merchant_description")
 
@@ -211,13 +211,16 @@ def reach_curve(scores: DataFrame, fact: DataFrame, sizes: Sequence[int], keywor
                 id_col: str = "individual_id") -> DataFrame:
     """Holdout metrics of the top-n audience for several n, from one ranking and one fact scan."""
     sizes = sorted(set(sizes))
-    stored = ranked(scores.select(id_col, score), score, id_col)
-    banded = stored.select(id_col, size_band(stored, score, id_col, sizes).alias("_band"))
+    best = top_n(scores.select(id_col, score), score, id_col, sizes[-1], rank="_rank")
+    band = F.lit(len(sizes) - 1)  # index of the smallest size that holds the rank
+    for i, size in reversed(list(enumerate(sizes))):
+        band = F.when(F.col("_rank") <= size, i).otherwise(band)
+    banded = best.select(id_col, band.alias("_band"))
     measure = (start, end, tuple(keywords))
     people, windows = person_measures(fact, [measure], id_col)
     people = materialise(people)
     active, brand = _baseline(people, [measure], windows, id_col)
-    rows = banded.where(F.col("_band") < len(sizes)).join(people, id_col, "left").groupBy("_band") \
+    rows = banded.join(people, id_col, "left").groupBy("_band") \
         .agg(F.count(F.lit(1)).alias("_ids"),
              F.count_if(F.col("_act0") > 0).alias("_act"),
              F.count_if(F.col("_rows0") > 0).alias("_shop"),

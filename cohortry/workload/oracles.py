@@ -292,7 +292,7 @@ parts AS (SELECT individual_id, is_seed, {' + '.join(terms)} AS numeric_similari
  WHERE (SELECT count(*) FROM pop WHERE is_seed = 1) > 0),
 scored AS (SELECT *, numeric_similarity_score + categorical_similarity_score AS similarity_score
  FROM parts),
-board AS (SELECT individual_id, is_seed, ROUND(similarity_score, 6) AS similarity_score,
+board AS (SELECT individual_id, is_seed, numeric_similarity_score, categorical_similarity_score, ROUND(similarity_score, 6) AS similarity_score,
  row_number() OVER (ORDER BY ROUND(similarity_score, 6) DESC, individual_id) AS rn FROM scored)"""
 
 
@@ -300,6 +300,10 @@ TOP_N = f"WITH {_scored()} SELECT individual_id, {big('is_seed')}, similarity_sc
         "WHERE rn <= 500"
 
 
+RANKED = f"WITH {_scored()} SELECT individual_id, {big('is_seed')}, " + dbl(
+    "numeric_similarity_score", "categorical_similarity_score") + ", similarity_score, rn AS rank FROM board WHERE rn <= "
+
+
 # --- audiences ---------------------------------------------------------------------------------
 CONFIG = f"""entries AS ({A.CONFIG_ENTRIES}), config AS (SELECT audience_id, name, keywords,
  CAST(COALESCE(date_start, '{D0}') AS DATE) AS date_start,
@@ -620,7 +624,8 @@ ORACLES: dict[str, str] = {
     "lookalike_scores": f"WITH {_scored()} SELECT individual_id, {big('is_seed')}, "
                         + dbl("numeric_similarity_score", "categorical_similarity_score",
                               "similarity_score") + " FROM scored",
-    "top_n_audience": TOP_N, "top_n_ranges": TOP_N,
+    "top_n_audience": TOP_N, "top_n_ranges": TOP_N, "lookalike_scores_n": RANKED + "500",
+    "lookalike_scores_half": RANKED + "(SELECT count(*) // 2 FROM pop)",
     "latest_version": f"WITH {LATEST} SELECT individual_id, audience_id, {big('ver')} FROM latest",
     "audience_validation": f"WITH {FACT}, {CONFIG}, {LATEST}, {_validated('latest', 'result')} SELECT "
                            f"audience_name, audience_id, {big(*COUNTS)}, "

@@ -452,9 +452,19 @@ def top_n_audience(d):
 
 
 def top_n_ranges(d):
-    """The same audience by way of stored rank ranges, as for tens of millions of members."""
+    """The same audience from many small ranges and rounds, as for tens of millions of members."""
     return top_n(_scores(d).select(ID, "is_seed", "similarity_score"), "similarity_score", ID, 500,
-                 take_ordered_limit=0)
+                 range_rows=64, buckets=8)
+
+
+def lookalike_scores_n(d):
+    return lookalike_scores(_population(d), n=500, digits=6)
+
+
+def lookalike_scores_half(d):
+    """The better half of the population with ranks."""
+    pop = materialise(_population(d))
+    return lookalike_scores(pop, n=pop.count() // 2, digits=6, store=False)
 
 
 # --- audiences ---------------------------------------------------------------------------------
@@ -622,7 +632,8 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "pop_features_rfm": pop_features_rfm, "numeric_profile": q_numeric_profile,
     "category_shares": q_category_shares, "categorical_importance": categorical_importance,
     "lookalike_scores": q_lookalike_scores, "top_n_audience": top_n_audience,
-    "top_n_ranges": top_n_ranges,
+    "top_n_ranges": top_n_ranges, "lookalike_scores_n": lookalike_scores_n,
+    "lookalike_scores_half": lookalike_scores_half,
     "latest_version": q_latest_version, "audience_validation": audience_validation,
     "validation_by_seed": validation_by_seed, "reach_curve": q_reach_curve,
     "run_delta": q_run_delta, "semi_active": semi_active, "count_ids": count_ids, "cohort_union": q_cohort_union,

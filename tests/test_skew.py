@@ -5,7 +5,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from cohortry.operators import (cluster, hot_key_hashes, is_hot, label_membership, left_enrich,
-                                ranked, size_band, summarise, top_n)
+                                score_cut, summarise, top_n, with_rank)
 
 
 @pytest.fixture(scope="module")
@@ -104,22 +104,39 @@ def scores(spark):
 @pytest.mark.parametrize("n", [1, 700, 2500, 4990, 5000, 6000])
 def test_top_n_over_ranges_equals_sorting(scores, n):
     plain = [tuple(r) for r in scores.orderBy(F.col("s").desc_nulls_last(), "id").limit(n).collect()]
-    assert rows(top_n(scores, "s", "id", n, take_ordered_limit=0)) == sorted(plain, key=repr)
     assert rows(top_n(scores, "s", "id", n)) == sorted(plain, key=repr)
+    want = sorted(((*r, i) for i, r in enumerate(plain, 1)), key=repr)
+    assert rows(top_n(scores, "s", "id", n, rank="at", range_rows=100, buckets=3)) == want
 
 
-def test_top_n_keeps_exactly_n_of_equal_rows(spark):
-    same = spark.range(1000).select(F.lit("x").alias("id"), F.lit(1.0).alias("s"))
-    assert top_n(same, "s", "id", 10, take_ordered_limit=0).count() == 10
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 6, 9, 12, 14, 20])
+def test_odd_scores_are_ranked_as_spark_sorts_them(spark, n):
+    odd = [float("nan"), float("inf"), 1e308, 1e-308, 5e-324, 0.0, -0.0, -1e308, float("-inf"), None, None, float("nan"), 1.0, 1.0]
+    df = spark.createDataFrame([(f"p{i:02}", x) for i, x in enumerate(odd)], "id string, s double")
+    plain = [r["id"] for r in df.orderBy(F.col("s").desc_nulls_last(), "id").limit(n).collect()]
+    got = top_n(df, "s", "id", n, rank="at", range_rows=2, buckets=2).collect()
+    assert [r["id"] for r in sorted(got, key=lambda r: r["at"])] == plain
+
+
+@pytest.mark.parametrize("n", [1, 40, 2500, 4990, 5000])
+def test_cut_keeps_few_rows_more(scores, n):
+    cond, count = score_cut(scores, "s", n, slack=5, buckets=16)
+    assert scores.where(cond).count() == count
+    ties = scores.groupBy("s").count().agg(F.max("count")).first()[0]
+    assert n <= count <= n + max(5, ties)
 
 
-def test_size_bands(scores):
-    sizes = [10, 1000, 4985, 9000]
-    stored = ranked(scores, "s", "id")
-    band = dict(stored.select("id", size_band(stored, "s", "id", sizes)).collect())
-    order = [r["id"] for r in scores.orderBy(F.col("s").desc_nulls_last(), "id").collect()]
-    want = {i: next(b for b, n in enumerate(sizes) if rank < n) for rank, i in enumerate(order)}
-    assert band == want
+def test_ranges_of_ranks_are_bounded(spark, scores):
+    ranked = with_rank(scores, "s", "id", range_rows=250)
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 5001))
+    sizes = partition_sizes(scores.repartitionByRange(20, F.col("s").desc_nulls_last(), "id"))
+    assert max(sizes) < 1000
+
+
+def test_top_n_keeps_exactly_n_of_equal_rows(spark):
+    same = spark.range(1000).select(F.lit("x").alias("id"), F.lit(1.0).alias("s"))
+    assert top_n(same, "s", "id", 10).count() == 10
+    assert top_n(same, "s", "id", 10, range_rows=7).count() == 10
 
 
 def test_cluster_splits_a_hot_key(spark, skewed):
