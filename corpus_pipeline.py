@@ -4,7 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; between stag
 Parquet and read again.  All but the last return the columns of ``documents``.
 
 1. quality_rules: documents the rules reject go.
-2. near_duplicates: one document of each group of near copies stays, that of the least id.
+2. near_duplicates: one document of each group of near copies (similarity 0.8 or more on shingles of five words)
+   stays, that of the least id.
 3. decontamination: documents with a passage of the benchmark go.
 4. mixing: documents repeat as often as the mix takes them, none to three times.
 5. sharding: every row gets its ``shard``.
@@ -19,6 +20,7 @@ from cohortry.llm.common import read
 from cohortry.operators import materialise
 
 SHARDS = 24
+SHINGLE_WORDS = 5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.stage(docs)
+    return neardup.stage(docs, SHINGLE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
