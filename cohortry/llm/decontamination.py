@@ -27,7 +27,6 @@ SHINGLE = 5
 #: At similarity 0.8 fingerprints differ in 9 bits on average, deviation 2.8: the radius is 4.5 of them off.
 RADIUS = 22
 PERCENT = 80
-_LANES = 0x0001000100010001
 
 
 def shingled(df: DataFrame, text: str) -> DataFrame:
@@ -41,21 +40,35 @@ def shingled(df: DataFrame, text: str) -> DataFrame:
         ngrams(F.col("_wh"), F.col("_n"), SHINGLE))).drop("_wh")
 
 
-def simhash(grams: Column) -> Column:
-    """64-bit SimHash: bit b is set where more than half of the shingle hashes have it.  Bits b, b + 16,
-    b + 32 and b + 48 are counted in the four quarters of one long, so for up to 65,535 shingles."""
+def _lane_simhash(grams: Column, bits: int) -> Column:
+    """SimHash whose counts are kept side by side in one long, ``bits`` wide each; the top lane stays positive
+    below 2^(bits - 1) shingles."""
+    per, width = 64 // bits, (1 << bits) - 1
+    step = 64 // per
+    lanes = sum(1 << (step * k) for k in range(per))
+
     def lane(b):
         return F.aggregate(grams, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(
-            x, b).bitwiseAND(F.lit(_LANES)))
-    sums = F.array(*[lane(b) for b in range(16)])
+            x, b).bitwiseAND(F.lit(lanes)))
+    sums = F.array(*[lane(b) for b in range(step)])
 
     def bit(total, b, k):
-        count = F.shiftrightunsigned(total, 16 * k).bitwiseAND(F.lit(0xFFFF))
+        count = F.shiftrightunsigned(total, step * k).bitwiseAND(F.lit(width))
         return F.call_function("shiftleft", F.when(2 * count > F.size(grams), F.lit(1)).otherwise(
-            F.lit(0)).cast("long"), b + 16 * k)
-    parts = F.transform(sums, lambda t, b: bit(t, b, 0).bitwiseOR(bit(t, b, 1)).bitwiseOR(
-        bit(t, b, 2)).bitwiseOR(bit(t, b, 3)))
-    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+            F.lit(0)).cast("long"), b + step * k)
+
+    def together(t, b):
+        out = bit(t, b, 0)
+        for k in range(1, per):
+            out = out.bitwiseOR(bit(t, b, k))
+        return out
+    return F.aggregate(F.transform(sums, together), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+
+def simhash(grams: Column) -> Column:
+    """64-bit SimHash: bit b is set where more than half of the shingle hashes have it.  Counts of 16 bits
+    hold up to 32,767 shingles, and are faster; longer texts are counted in 32 bits, with the same result."""
+    return F.when(F.size(grams) < 1 << 15, _lane_simhash(grams, 16)).otherwise(_lane_simhash(grams, 32))
 
 
 def blocks() -> list[tuple[int, int]]:
@@ -69,10 +82,24 @@ def block_values(print_: Column) -> Column:
                      for a, m in blocks()])
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def counted(grams: Column) -> Column:
-    """The multiset as a set: the k-th copy of a shingle gets a hash of its own."""
-    return F.transform(grams, lambda x, i: F.xxhash64(x, F.size(F.filter(
-        F.slice(grams, F.lit(1), i), lambda y: y == x))))
+    """The multiset as a set: the k-th copy of a shingle gets a hash of its own.  Equal ones are neighbours
+    once sorted, so the work is that of sorting."""
+    def copies(s, first):
+        return F.flatten(F.transform(first, lambda p, j: F.transform(
+            F.sequence(F.lit(0), F.coalesce(F.get(first, j + 1), F.size(s)) - p - 1),
+            lambda k: F.xxhash64(F.get(s, p), k))))
+
+    def firsts(s):
+        return F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                        lambda i: (i == 0) | (F.get(s, F.greatest(i - 1, F.lit(0))) != F.get(s, i)))
+    return F.when(F.size(grams) > 0, _let(F.sort_array(grams), lambda s: _let(firsts(s), lambda f: copies(s, f)))
+                  ).otherwise(F.array().cast("array<bigint>"))
 
 
 def with_keys(docs: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ def shingles(text, n=4):
     return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def components_by_hand(texts):
+def components_by_hand(texts, n=4):
     """Least index of the component of each text, None without words."""
-    sets, at = [shingles(t) for t in texts], list(range(len(texts)))
+    sets, at = [shingles(t, n) for t in texts], list(range(len(texts)))
 
     def find(x):
         while at[x] != x:
@@ -317,12 +317,31 @@ def test_simhash_by_hand(spark):
     for r, got in zip(rows, df.select("g", decontamination.simhash(F.col("g")).alias("p")).collect()):
         want = sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in got.g) > len(got.g))
         assert got.p % 2**64 == want
+    wide = df.select((decontamination._lane_simhash(F.col("g"), 32) == decontamination.simhash(F.col("g"))).alias("same"))
+    assert all(r.same for r in wide.collect())
     values = df.select(decontamination.simhash(F.col("g")).alias("p")).select(
         decontamination.block_values(F.col("p")).alias("b")).first().b
     assert len(values) == decontamination.RADIUS + 1
     assert sum((m.bit_length()) for _, m in decontamination.blocks()) == 64
 
 
+@pytest.mark.parametrize("text", [" ".join(f"w{i * 7919 % 69_997}" for i in range(70_000)), "same " * 33_000])
+def test_items_of_any_length_have_a_fingerprint(spark, text):
+    bench = spark.createDataFrame([(1, text), (2, " ".join(f"i{k}" for k in range(30)))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "before " + " ".join(f"i{k}" for k in range(30))), (2, "clean")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.op8(docs, bench).collect()] == [(1, 2)]
+
+
+def test_copies_of_a_shingle_are_numbered(spark):
+    lists = [[], [5], [3, 3, 1, 3], [7] * 40_000, list(range(1000)) * 2]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, g array<long>")
+    got = {r.i: r.c for r in df.select("i", decontamination.counted(F.col("g")).alias("c")).collect()}
+    for i, x in enumerate(lists):
+        assert len(got[i]) == len(set(got[i])) == len(x)
+    assert set(got[1]) & set(got[2]) == set() and len(set(got[2]) & set(spark.createDataFrame(
+        [([3, 1],)], "g array<long>").select(decontamination.counted(F.col("g")).alias("c")).first().c)) == 2
+
+
 @pytest.mark.parametrize("name,record", [
     ("messages", '{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":"a"}]}'),
     ("shared", '{"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":"a"}]}'),
@@ -505,7 +524,7 @@ def test_pipeline_stages(spark, sf_dir):
     judged = quality.op9(before)
     assert after.count() == judged.where("kept").count()
     before, after = at["near_duplicates"]
-    parts = components_by_hand([r.text for r in before.collect()])
+    parts = components_by_hand([r.text for r in before.collect()], 5)
     assert after.count() == len(set(parts)) and None not in parts
     before, after = at["decontamination"]
     bad = decontamination.op8(before, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
