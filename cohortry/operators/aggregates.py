@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortry.functions.maps import map_without_nulls
 from cohortry.functions.scalars import is_filled, ratio, tag_if_present
 
-from .skew import split_hot
+from .skew import large_groups, same_group
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -60,8 +60,9 @@ def _summarise_grouped(df, keys, metrics, mode_cols, distinct_cols, list_cols):
         *[count(c).alias(n) for c, n in distinct_cols.items()])
 
 
-def _summarise_spread(df, keys, metrics, mode_cols, distinct_cols, list_cols):
-    """Same result for groups too large for one task: counts per (group, field, value) first."""
+def _summarise_split(df, keys, metrics, mode_cols, distinct_cols, list_cols):
+    """Same result for groups too large for one task, in three steps that each combine before the shuffle:
+    rows per (group, field, value), then per (group, field), then per group one cell for each field."""
     base = df.select(*keys).distinct() if not metrics else \
         df.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()])
     fields = list(dict.fromkeys([*mode_cols.values(), *distinct_cols, *list_cols]))
@@ -74,20 +75,22 @@ def _summarise_spread(df, keys, metrics, mode_cols, distinct_cols, list_cols):
                 .where(F.col("_value").isNotNull())
                 .groupBy(*keys, "_field", "_value").agg(F.count(F.lit(1)).alias("_n")))
 
-    def of(c, expr):
-        return F.when(F.col("_field") == c, expr)
-    aggs = [F.min_by(_typed(df, c), of(c, F.struct(-F.col("_n"), _typed(df, c)))).alias(n)
-            for n, c in mode_cols.items()]
-    aggs += [F.collect_list(of(c, _typed(df, c))).alias(n) for c, n in list_cols.items()]
-    aggs += [F.count(of(c, F.lit(1))).alias(n) for c, n in distinct_cols.items()]
-    values = counts.groupBy(*keys).agg(*aggs)
-    lists = set(list_cols.values())
-    values = values.select(*keys, *[distinct_list(F.col(n)).alias(n) if n in lists else F.col(n)
-                                    for n in values.columns if n not in keys])
-    joined = base.join(values.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                                     *[n for n in values.columns if n not in keys]),
-                       reduce(lambda a, b: a & b,
-                              [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]), "left")
+    def of(fields, expr):
+        return F.when(F.col("_field").isin(*fields), expr)
+    # a value is compared in the type of its field: one aggregate for each field that needs it
+    cells = [F.count(F.lit(1)).alias("_count")]
+    cells += [F.min_by(_typed(df, c), of([c], F.struct(-F.col("_n"), _typed(df, c)))).alias(f"_mode_{n}")
+              for n, c in mode_cols.items()]
+    cells += [F.collect_list(of([c], _typed(df, c))).alias(f"_list_{n}") for c, n in list_cols.items()]
+    per_field = counts.groupBy(*keys, "_field").agg(*cells).select(
+        *keys, "_field", "_count", *[f"_mode_{n}" for n in mode_cols],
+        *[distinct_list(F.col(f"_list_{n}")).alias(f"_list_{n}") for n in list_cols.values()])
+    values = per_field.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        *[F.max(f"_mode_{n}").alias(n) for n in mode_cols],
+        *[F.max(f"_list_{n}").alias(n) for n in list_cols.values()],
+        *[F.coalesce(F.max(of([c], F.col("_count"))), F.lit(0)).cast("bigint").alias(n)
+          for c, n in distinct_cols.items()])
+    joined = base.join(values, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]), "left")
     return joined.select(*keys, *metrics, *mode_cols, *list_cols.values(),
                          *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n)
                            for n in distinct_cols.values()])
@@ -97,20 +100,23 @@ def summarise(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column],
               mode_cols: Mapping[str, str] | None = None,
               distinct_cols: Mapping[str, str] | None = None,
               list_cols: Mapping[str, str] | None = None,
-              hot: Sequence[int] = ()) -> DataFrame:
+              split_from: int | None = None) -> DataFrame:
     """Groups ``df`` by ``keys``.
 
     ``metrics``        {output: aggregate expression} with fixed-size buffers
     ``mode_cols``      {output: column}  most frequent value, ties to the lowest, NULL ignored
     ``distinct_cols``  {column: output}  number of distinct non-NULL values
     ``list_cols``      {column: output}  joined distinct values when there is more than one
-    ``hot``            hashes of groups to aggregate value by value instead of in one task
+    ``split_from``     rows from which on a group is aggregated value by value instead of in one task
     """
     args = (list(keys), dict(metrics), dict(mode_cols or {}), dict(distinct_cols or {}),
             dict(list_cols or {}))
-    cold, heavy = split_hot(df, keys, hot)
-    out = _summarise_grouped(cold, *args)
-    return out if heavy is None else out.unionByName(_summarise_spread(heavy, *args))
+    if split_from is None:
+        return _summarise_grouped(df, *args)
+    large = large_groups(df, keys, split_from)
+    rest = df.join(large, same_group(keys), "left_anti")
+    split = df.join(large, same_group(keys), "left_semi")
+    return _summarise_grouped(rest, *args).unionByName(_summarise_split(split, *args))
 
 
 def month_bounds(ref: date, months: Sequence[int]) -> dict[int, Column]:

@@ -8,21 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import is_hot
+from .skew import same_group
 
 NULL_SPREAD = 1_024
-HOT_SPREAD = 64
 
 
 def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str] = (),
-                hot: Sequence[int] = ()) -> DataFrame:
+                large: DataFrame | None = None) -> DataFrame:
     """Left-outer lookup of ``dim`` on equally named keys; one copy of the keys remains.
 
     No broadcast hint: Catalyst broadcasts by measured size (statistics, then AQE's shuffle sizes).
     NULL keys never match but would all hash to one task, so with ``spread_by`` they are dealt out
-    by a hash of those columns.  ``hot`` (from :func:`hot_key_hashes`) also deals out hot keys, their
-    few dimension rows being repeated once per slice.  The slice is a hash of row content, so a
-    recomputed task gives the same answer.
+    by a hash of those columns.  ``large`` (from :func:`large_groups`) also deals out keys with many rows, in
+    as many slices as these rows need; their few dimension rows are repeated once per slice.  The slice is a
+    hash of row content, so a recomputed task gives the same answer.
     """
     on = list(on)
     if not spread_by:
@@ -33,14 +32,16 @@ def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: S
     # 0 for every row, but not a literal: the optimiser would turn a literal into a filter on the
     # fact's slice and leave it out of the hash partitioning
     zero = F.pmod(F.xxhash64(*on), F.lit(1))
-    if hot:
-        slice_ = slice_.when(is_hot(on, hot), F.pmod(content, F.lit(HOT_SPREAD)) + 1)
-        slices = F.when(is_hot(on, hot), F.sequence(zero + 1, zero + HOT_SPREAD)) \
+    if large is not None:
+        marks = [f"_large_{k}" for k in on]
+        fact, dim = (df.join(large, same_group(on), "left").drop(*marks) for df in (fact, dim))
+        slice_ = slice_.when(F.col("_slices").isNotNull(), F.pmod(content, F.col("_slices")) + 1)
+        slices = F.when(F.col("_slices").isNotNull(), F.sequence(zero + 1, zero + F.col("_slices"))) \
                   .otherwise(F.array(zero))
-        dim = dim.withColumn("_slice", F.explode(slices))
+        dim = dim.withColumn("_slice", F.explode(slices)).drop("_slices")
     else:
         dim = dim.withColumn("_slice", zero)
-    fact = fact.withColumn("_slice", slice_.otherwise(F.lit(0).cast("bigint")))
+    fact = fact.withColumn("_slice", slice_.otherwise(F.lit(0).cast("bigint"))).drop("_slices")
     return fact.join(dim, on + ["_slice"], "left").drop("_slice")
 
 

@@ -1,49 +1,36 @@
-"""Finding and spreading hot keys.
+"""Finding groups too large for one task.
 
 One key may hold a large part of all rows.  Aggregates with a fixed-size buffer (sums, counts,
 extremes) survive that through Spark's map-side combine.  Joins and set-valued aggregates do not, so
-they route hot keys through a spread-out path.  Detection is a bounded sketch and is used for
-*routing only*: both paths are exact, so a miss or a false hit changes speed, never the result.
+they deal such groups out.  Groups are counted exactly, and those found are a table that is joined, of at
+most one row for every ``min_rows`` rows: no list of keys is brought to the driver and none is left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_MIN_ROWS = 1_000_000
-HOT_MAX_KEYS = 5_000
-SKETCH_ITEMS = 262_144
+from .materialise import materialise
 
+GROUP_ROWS = 1_000_000
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
 
+def large_groups(df: DataFrame, keys: Sequence[str], min_rows: int = GROUP_ROWS) -> DataFrame:
+    """The keys (as ``_large_<key>``) of groups of at least ``min_rows`` rows, NULLs included, and in
+    ``_slices`` how many parts of about that size their rows make.
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS,
-                   share: float = 0.0, max_keys: int = HOT_MAX_KEYS) -> list[int]:
-    """Hashes of the keys that hold at least ``min_rows`` rows and, if given, ``share`` of all rows.
-
-    ``min_rows`` is what one task is to hold at most, so it does not grow with the table.  One pass over
-    the key columns into a mergeable heavy-hitter sketch: no shuffle of rows, a fixed-size result of at
-    most ``max_keys`` hashes, the most frequent, on the driver.
+    ``min_rows`` is what one task is to hold at most, so it does not grow with the table.  One pass over the
+    key columns, whose counts are combined before they are shuffled.
     """
-    items = F.expr(f"approx_top_k(_h, {max_keys}, {SKETCH_ITEMS})")
-    row = (df.select(key_hash(keys).alias("_h"))
-             .agg(F.count(F.lit(1)).alias("n"), items.alias("top")).first())
-    floor = max(min_rows, share * row["n"])
-    return [t["item"] for t in row["top"] or [] if t["item"] is not None and t["count"] >= floor]
-
-
-def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
-    return key_hash(keys).isin(*hot) if hot else F.lit(False)
+    counts = df.groupBy(*[F.col(k).alias(f"_large_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return materialise(counts.where(F.col("_n") >= min_rows).select(
+        *[f"_large_{k}" for k in keys], F.ceil(F.col("_n") / min_rows).cast("bigint").alias("_slices")))
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[int]):
-    """(cold rows, hot rows); hot is ``None`` when there is nothing hot."""
-    if not hot:
-        return df, None
-    cond = is_hot(keys, hot)
-    return df.where(~cond), df.where(cond)
+def same_group(keys: Sequence[str]) -> Column:
+    """Join condition of rows with their entry in :func:`large_groups`."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])

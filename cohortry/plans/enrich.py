@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators import hot_key_hashes, label_membership, left_enrich
+from cohortry.operators import label_membership, large_groups, left_enrich
 
 MERCHANT = {"merch_desc": "merchant_description", "mcc": "merchant_category_code",
             "merch_city": "merchant_city", "merch_state": "merchant_state",
@@ -77,16 +75,14 @@ def enrich_transactions(tx: DataFrame, card: DataFrame, merchant: DataFrame, tag
     rows = rows.select("txid", "trans_date", "trans_time", "trans_time_zone", "trans_amount",
                        F.col("delivery_date").alias("transaction_delivery_date"),
                        "membccid", F.col("mtid").alias("_terminal"))
-    hot_cards: Sequence[int] = ()
-    hot_terminals: Sequence[int] = ()
+    cards = terms = None
     if salt_from is not None:
-        hot_cards = hot_key_hashes(rows, ["membccid"], salt_from, share=0)
-        hot_terminals = hot_key_hashes(rows, ["_terminal"], salt_from, share=0)
+        cards, terms = (large_groups(rows.where(F.col(k).isNotNull()), [k], salt_from) for k in ("membccid", "_terminal"))
     spread = ["txid", "trans_time"]
     out = left_enrich(rows, card_dimension(card, control, exposed, id_col), ["membccid"], spread,
-                      hot_cards)
+                      cards)
     terminals = terminal_dimension(merchant, tagging, taxonomy, location, dedupe_tags)
-    out = left_enrich(out, terminals, ["_terminal"], spread, hot_terminals)
+    out = left_enrich(out, terminals, ["_terminal"], spread, terms)
     return out.select(
         "txid", "trans_date", "trans_time", "trans_time_zone", "trans_amount",
         "transaction_delivery_date", id_col, "membccid", "card_type", "card_zip", "areaid",

@@ -9,7 +9,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortry.functions import in_range, keyword_match, ratio
 from cohortry.operators import (latest_version, materialise, prune_months, top_n)
@@ -47,12 +46,74 @@ def audiences_from(config: DataFrame) -> list[Audience]:
             for r in config.orderBy("audience_id", "name").collect()]
 
 
+def name_hits(names: DataFrame, keywords: DataFrame, gram: int = 3) -> DataFrame:
+    """Pairs ``name, set_no`` for every name that holds a keyword of the set, from distinct upper-case ``name``
+    and upper-case ``set_no, keyword``.
+
+    An inverted index of the names' character sequences, of ``gram`` characters or as many as the shortest
+    keywords have.  A keyword is looked up by the rarest of its sequences alone and then compared as a whole; one
+    with a sequence that no name has needs no look.  Names are not tried against each keyword.
+    """
+    def sequences(text, size):
+        last = F.length(text) - size + 1
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+                                            lambda i: F.substring(text, i, size)))
+    wanted = keywords.select("keyword").distinct().withColumn("size", F.least(F.length("keyword"), F.lit(gram)))
+    parts = wanted.select("keyword", "size", F.explode(F.array_distinct(sequences(F.col("keyword"), F.col("size"))))
+                          .alias("gram"))
+    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())  # gram + 1 at most
+    index = names.select("name", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*[
+        sequences(F.col("name"), F.lit(k)) for k in sizes]))))).alias("gram"))
+    rarity = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = parts.join(rarity, "gram", "left").groupBy("keyword").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0")
+    found = index.join(rarest.select("keyword", F.col("r.gram").alias("gram")), "gram").where(
+        F.col("name").contains(F.col("keyword"))).select("name", "keyword")
+    return found.join(keywords, "keyword").select("name", "set_no").distinct()
+
+
+def measured_rows(fact: DataFrame, start: date, end: date, id_col: str = "individual_id",
+                  name_cols: Sequence[str] = NAME_COLUMNS) -> DataFrame:
+    """Stored totals per person, day and names within ``[start, end)``: the one scan of the fact."""
+    rows = prune_months(fact, start, end).where(in_range("trans_date", start, end))
+    return materialise(rows.groupBy(id_col, "trans_date", *name_cols).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("txid").alias("_tx"), F.sum("trans_amount").alias("_spend")))
+
+
+def activity(rows: DataFrame, windows: DataFrame, id_col: str = "individual_id") -> DataFrame:
+    """People with an id and the windows ``window_no, start, end`` in which they have a row."""
+    days = windows.where("start < end").select(
+        "window_no", F.explode(F.sequence("start", F.date_sub("end", 1))).alias("trans_date"))
+    seen = rows.where(F.col(id_col).isNotNull()).select(id_col, F.col("trans_date").cast("date")).distinct()
+    return seen.join(days, "trans_date").select(id_col, "window_no").distinct()
+
+
+def brand_totals(rows: DataFrame, keywords: DataFrame, measures: DataFrame, id_col: str = "individual_id",
+                 name_cols: Sequence[str] = NAME_COLUMNS) -> DataFrame:
+    """Rows, transactions and spend per person and measure ``measure_no, set_no, start, end``.  People without
+    an id are one NULL row of each measure.
+
+    Names are matched once each; transactions meet only the measures whose keywords their names hold.
+    """
+    names = rows.select(*name_cols).distinct()
+    each = names.select("*", F.explode(F.array_distinct(F.array_compact(F.array(*[F.upper(c) for c in name_cols])))
+                                       ).alias("name"))
+    hits = name_hits(each.select("name").distinct(), keywords)
+    sets = each.join(hits, "name").select(*[F.col(c).alias(f"_h_{c}") for c in name_cols], "set_no").distinct()
+    alike = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in name_cols])
+    hit = rows.join(sets, alike).join(measures, "set_no").where(
+        (F.col("trans_date") >= F.col("start")) & (F.col("trans_date") < F.col("end")))
+    return hit.groupBy(id_col, "measure_no").agg(F.sum("_rows").alias("_rows"), F.sum("_tx").alias("_tx"),
+                                                 F.sum("_spend").alias("_spend"))
+
+
 def person_measures(fact: DataFrame, measures: Sequence[tuple], id_col: str = "individual_id",
                     name_cols: Sequence[str] = NAME_COLUMNS) -> tuple[DataFrame, dict]:
-    """Per person and (window, keywords): activity, brand rows, transactions and spend.
+    """Per person and (window, keywords) of a few measures, as columns: activity, brand rows, transactions and
+    spend.
 
-    One scan and one combinable aggregate whatever the number of measures.  People without an id
-    stay as one NULL row, since their spend counts in the baseline.
+    One scan and one combinable aggregate.  People without an id stay as one NULL row, since their spend
+    counts in the baseline.
     """
     windows = sorted({(s, e) for s, e, _ in measures})
     inside = {w: in_range("trans_date", *w) for w in windows}
@@ -101,44 +162,7 @@ RESULT_COLUMNS = [
     "avg_transactions_per_shopper", "baseline_active_ids", "baseline_brand_shoppers",
     "baseline_shop_rate", "baseline_spend_rate", "shop_rate_lift", "spend_rate_lift"]
 
-BASELINE_SCHEMA = T.StructType([
-    T.StructField("_no", T.IntegerType()), T.StructField("audience_id", T.StringType()),
-    T.StructField("audience_name", T.StringType()),
-    T.StructField("baseline_active_ids", T.LongType()),
-    T.StructField("baseline_brand_shoppers", T.LongType()),
-    T.StructField("baseline_brand_spend", T.DoubleType())])
-
-
-def _member_metrics(members, people, audiences, measures, windows, id_col, extra):
-    """Counts per audience number (and ``extra`` columns) over its members."""
-    numbers: dict[str, list[int]] = {}
-    for no, a in audiences:
-        numbers.setdefault(a.audience_id, []).append(no)
-    pairs = [x for aid, nos in numbers.items()
-             for x in (F.lit(aid), F.array(*[F.lit(n) for n in nos]))]
-    rows = members.join(people, id_col, "left") \
-        .withColumn("_no", F.explode(F.create_map(*pairs)[F.col("audience_id")]))
-
-    def pick(prefix, index_of):
-        whens = None
-        for no, a in audiences:
-            value = F.col(f"{prefix}{index_of(a)}")
-            cond = F.col("_no") == no
-            whens = F.when(cond, value) if whens is None else whens.when(cond, value)
-        return F.coalesce(whens, F.lit(0))
-    measure_no = {m: j for j, m in enumerate(measures)}
-    picked = rows.select(
-        "_no", *extra,
-        pick("_act", lambda a: windows[a.date_start, a.date_end]).alias("_act"),
-        pick("_rows", lambda a: measure_no[a.measure]).alias("_rows"),
-        pick("_tx", lambda a: measure_no[a.measure]).alias("_tx"),
-        pick("_spend", lambda a: measure_no[a.measure]).alias("_spend"))
-    return picked.groupBy("_no", *extra).agg(
-        F.count(F.lit(1)).alias("total_lal_ids"),
-        F.count_if(F.col("_act") > 0).alias("active_matched_ids"),
-        F.count_if(F.col("_rows") > 0).alias("brand_shoppers"),
-        F.sum("_tx").alias("brand_transactions"),
-        F.sum("_spend").cast("double").alias("brand_spend"))
+COUNT_COLUMNS = ["total_lal_ids", "active_matched_ids", "brand_shoppers", "brand_transactions", "brand_spend"]
 
 
 def _baseline(people: DataFrame, measures, windows, id_col) -> tuple[dict, dict]:
@@ -156,9 +180,11 @@ def _baseline(people: DataFrame, measures, windows, id_col) -> tuple[dict, dict]
 
 def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], lookup: DataFrame,
                        metadata: DataFrame, fact: DataFrame, id_col: str = "individual_id",
-                       seed: DataFrame | None = None, measures_per_pass: int = 40) -> DataFrame:
-    """One row per audience definition, in one scan of the fact for each ``measures_per_pass`` different
-    (window, keywords) pairs; each pair is three columns of an aggregate, so the bound keeps rows short.
+                       seed: DataFrame | None = None) -> DataFrame:
+    """One row per audience definition, however many, from one scan of the fact.
+
+    Definitions, windows and keywords are tables that are joined: a person has a row for each window it is
+    active in and for each measure (window and keywords) it bought by, and a member meets those of its audience.
 
     A definition that cannot be measured (a date or all keywords missing, or dates in the wrong order)
     keeps its row with the reason in ``error`` and NULL metrics; the others are measured.
@@ -170,13 +196,26 @@ def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], looku
     audiences = list(audiences)
     if not audiences:
         raise ValueError("no audiences defined")
-    numbered = [(no, a) for no, a in enumerate(audiences) if a.fault is None]
+    sound = [a for a in audiences if a.fault is None]
     faulty = spark.createDataFrame([(a.name, a.audience_id, a.fault) for a in audiences if a.fault],
                                    "audience_name string, audience_id string, error string")
-    if not numbered:
+    if not sound:
         return faulty
+    windows, sets, measures = ({x: i for i, x in enumerate(dict.fromkeys(xs))} for xs in (
+        ((a.date_start, a.date_end) for a in sound), (a.measure[2] for a in sound), (a.measure for a in sound)))
+    defined = spark.createDataFrame(
+        [(no, a.audience_id, a.name, windows[a.date_start, a.date_end], measures[a.measure]) for no, a in enumerate(sound)],
+        "_no int, audience_id string, audience_name string, window_no int, measure_no int")
+    window_table = spark.createDataFrame([(i, *w) for w, i in windows.items()], "window_no int, start date, end date")
+    measure_table = spark.createDataFrame([(i, sets[k], start, end) for (start, end, k), i in measures.items()],
+                                          "measure_no int, set_no int, start date, end date")
+    keywords = spark.createDataFrame([(i, k) for ks, i in sets.items() for k in ks], "set_no int, keyword string")
+
+    rows = measured_rows(fact, min(s for s, _ in windows), max(e for _, e in windows), id_col)
+    active = materialise(activity(rows, window_table, id_col))
+    brand = materialise(brand_totals(rows, keywords, measure_table, id_col))
     members = latest_version(lookup, metadata).where(F.col(id_col).isNotNull()) \
-        .where(F.col("audience_id").isin(*{a.audience_id for _, a in numbered})) \
+        .join(defined.select("audience_id").distinct(), "audience_id", "left_semi") \
         .select("audience_id", id_col).distinct()
     extra = []
     if seed is not None:
@@ -184,24 +223,20 @@ def validate_audiences(spark: SparkSession, audiences: Iterable[Audience], looku
         members = members.join(flags, id_col, "left") \
             .select("audience_id", id_col, F.coalesce("_seed", F.lit(0)).alias("is_seed"))
         extra = ["is_seed"]
-    all_measures = list(dict.fromkeys(a.measure for _, a in numbered))
-    parts = []
-    for at in range(0, len(all_measures), measures_per_pass):
-        measures = all_measures[at:at + measures_per_pass]
-        chunk = [(no, a) for no, a in numbered if a.measure in measures]
-        people, windows = person_measures(fact, measures, id_col)
-        people = materialise(people)
-        active, brand = _baseline(people, measures, windows, id_col)
-        base = spark.createDataFrame(
-            [(no, a.audience_id, a.name, active[a.date_start, a.date_end], *brand[a.measure])
-             for no, a in chunk], BASELINE_SCHEMA)
-        counts = _member_metrics(members, people, chunk, measures, windows, id_col, extra)
-        # at most one row per definition (twice that with is_seed), and that list is on the driver
-        parts.append(base.join(F.broadcast(counts), "_no", "inner" if extra else "left"))
-    joined = reduce(DataFrame.unionByName, parts)
-    counts = ["total_lal_ids", "active_matched_ids", "brand_shoppers", "brand_transactions",
-              "brand_spend"]
-    filled = joined.fillna(0, subset=counts)
+    met = members.join(defined, "audience_id").join(active.withColumn("_act", F.lit(1)), [id_col, "window_no"], "left") \
+        .join(brand, [id_col, "measure_no"], "left")
+    counts = met.groupBy("_no", *extra).agg(
+        F.count(F.lit(1)).alias("total_lal_ids"), F.count("_act").alias("active_matched_ids"),
+        F.count_if(F.col("_rows") > 0).alias("brand_shoppers"), F.sum("_tx").alias("brand_transactions"),
+        F.sum("_spend").cast("double").alias("brand_spend"))
+    everyone = active.groupBy("window_no").agg(F.count(F.lit(1)).alias("baseline_active_ids"))
+    shoppers = brand.groupBy("measure_no").agg(
+        F.count_if(F.col(id_col).isNotNull() & (F.col("_rows") > 0)).alias("baseline_brand_shoppers"),
+        F.sum("_spend").cast("double").alias("baseline_brand_spend"))
+    joined = defined.join(everyone, "window_no", "left").join(shoppers, "measure_no", "left") \
+        .join(counts, "_no", "inner" if extra else "left")
+    filled = joined.fillna(0, subset=[*COUNT_COLUMNS, "baseline_active_ids", "baseline_brand_shoppers",
+                                      "baseline_brand_spend"])
     measured = add_rates(filled).select(*RESULT_COLUMNS, *extra, F.lit(None).cast("string").alias("error"))
     return measured.unionByName(faulty, allowMissingColumns=True)
 

@@ -86,6 +86,59 @@ TABLES: dict[str, T.StructType] = {
 SPINE_DATES = ("yearofbirth_1",)
 
 
+#: what the columns of the stored products hold; families of columns follow from their names, see comment_of
+COLUMN_COMMENTS = {
+    **{f.name: f.metadata["comment"] for table in TABLES.values() for f in table.fields if f.metadata},
+    "individual_id": "Person", "household_id": "Household of the person", "partition_date": "Date of the person's latest activity",
+    "trans_month": "Month of the date, yyyy-MM; folder of the table", "experiment_group": "CONTROL, EXPOSED or NULL outside the experiment",
+    "transaction_delivery_date": "Date the transaction was delivered", "merchant_description": "Description of the merchant",
+    "merchant_category_code": "Four-digit merchant category code", "transaction_channel": "ONLINE or B&M",
+    "transaction_count": "Transactions of the person on the day", "total_transaction_amount": "Sum of the day's amounts",
+    "avg_transaction_amount": "Mean of the day's amounts", "min_transaction_amount": "Least amount of the day",
+    "max_transaction_amount": "Greatest amount of the day", "latest_delivery_date": "Latest delivery of the day's transactions",
+    "earliest_delivery_date": "Earliest delivery of the day's transactions", "unique_merchant_count": "Different terminals of the day",
+    "unique_store_count": "Different stores of the day", "unique_brand_count": "Different brands of the day",
+    "unique_mcc_count": "Different category codes of the day", "unique_channel_count": "Different channels of the day",
+    "rfm_ref_date": "Day the look-back windows end on", "last_txn_date": "Latest transaction up to that day",
+    "days_since_last_txn": "Days from the latest transaction to that day", "age": "Age in years", "age_bucket": "Age group",
+    "age_bucket_detailed": "Code of the finer age group", "gender": "Gender", "ethnicity": "Ethnic group",
+    "ethnicity_prediction": "Ethnic group", "education_level": "Highest education", "education": "Class of education",
+    "education_model": "Modelled education", "marital_status": "Marital status", "occupation": "Occupation",
+    "occupation_model": "Modelled occupation", "homeowner_status": "Owner or renter", "homeowner": "1 for owners",
+    "income_bucket": "Income group", "income": "Income", "household_income_k": "Income in thousands of dollars",
+    "net_worth_bucket": "Net worth group", "financial_health_bucket": "Financial health group", "politics": "Political leaning",
+    "business_owner": "Owns a business", "state": "State", "zip_code": "Zip code", "city": "City", "weight": "Weight, always 1",
+    "adults_in_hh": "Adults in the household", "number_of_children": "Children in the household",
+    "num_people_in_household_group": "People in the household", "presence_of_children": "Whether there are children",
+    "child_age_group": "Age groups of the children", "investment_type": "Likeliest kind of investment",
+    "median_home_value_by_state": "Home value by state", "credit_card_info": "Cards the person likely holds",
+}
+
+
+def comment_of(column: str) -> str:
+    """Comment of a product column: its own, or that of its family."""
+    if column in COLUMN_COMMENTS:
+        return COLUMN_COMMENTS[column]
+    words = column.replace("_", " ")
+    if column.endswith("_str_list"):
+        return f"Different values of {words[:-9]} on the day, if more than one, in ascending order"
+    if column[-2:] == "mo" and column.rsplit("_", 1)[-1][:-2].isdigit():
+        return f"{words.rsplit(' ', 1)[0].capitalize()} in the {column.rsplit('_', 1)[-1][:-2]} months before the reference date"
+    for prefix, meaning in (("merchant_", "Merchant"), ("store_", "Store"), ("brand_", "Brand"), ("media_", "Media use"),
+                            ("card_", "Card")):
+        if column.startswith(prefix):
+            return f"{meaning}: {words[len(prefix):]}"
+    return f"{words.capitalize()}{', as a map or list of tags' if column.endswith('_interests') else ''}"
+
+
+def spine_comment(column: str) -> str:
+    """What a spine column feeds."""
+    from cohortry.functions import codes
+    fed = [out for out, src, *_ in codes.DECODED_FIELDS if src == column]
+    fed += [out for out, src in codes.CARRIED_FIELDS.items() if src == column]
+    return f"Delivered value of {', '.join(fed)}" if fed else "Delivered value, read by the person dimension"
+
+
 def spine_schema(id_col: str = "individual_id", extra: Sequence[str] = ()) -> T.StructType:
     """Schema of the demographic spine: the columns the dimension reads, plus any others named.
 
@@ -93,15 +146,16 @@ def spine_schema(id_col: str = "individual_id", extra: Sequence[str] = ()) -> T.
     """
     from cohortry.plans.attributes import source_columns
     names = list(dict.fromkeys([*source_columns(id_col), *extra]))
-    return struct([(n, "date" if n in SPINE_DATES else "string") for n in names])
+    return struct([(n, "date" if n in SPINE_DATES else "string", spine_comment(n)) for n in names])
 
 
 def load_columns(table: str) -> list[str]:
     return TABLES[table].fieldNames()
 
 
-def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
-    """Attaches column comments; they are stored with the table and shown by DESCRIBE."""
-    for name, comment in comments.items():
+def with_comments(df: DataFrame, comments: Mapping[str, str] | None = None) -> DataFrame:
+    """Attaches column comments, those of the products by default; they are stored with the table, in its files
+    and in the catalog, and shown by DESCRIBE."""
+    for name, comment in ({c: comment_of(c) for c in df.columns} if comments is None else comments).items():
         df = df.withMetadata(name, {"comment": comment})
     return df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,16 +98,45 @@ def with_load_ts(df: DataFrame) -> DataFrame:
     return df.withColumn("load_timestamp", F.current_timestamp())
 
 
-def load_report(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Every line of text files: the file's path, the line and its place (first byte of the split, place in it)."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+
+
+def line_numbers(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``file, line, number``: the first line, from 1, of each ``file, line`` in ``wanted`` that is in the file.
+
+    A split is read from its start to its end by one task, so a line's place in its split follows from the row
+    ids; lines of the splits before it are added as prefix sums over one row per split.  Files are not sorted.
+    """
+    files = wanted.select(F.col("file").alias("_file")).distinct()
+    inside = lines.join(files, "_file", "left_semi")
+    splits = inside.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    found = inside.join(wanted.select(F.col("file").alias("_file"), "line").distinct(), ["_file", "line"])
+    return found.join(splits, ["_file", "_block"]).groupBy(F.col("_file").alias("file"), "line").agg(
+        F.min(F.col("_before") + F.col("_row") - F.col("_first") + 1).alias("number"))
+
+
+def load_report(rows: DataFrame, files: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     """Per file of :func:`read_tolerant`, by its path: rows parsed, loaded, rejected, the first rejected
     row in file order and a status.  With ``files`` (from :func:`list_files`) files without rows are
-    listed too."""
+    listed too; with ``lines`` (from :func:`read_lines`) ``first_error_line`` has the number of that row's line
+    in its file, header and empty lines counted.  Lines are only read of files with rejected rows."""
     bad = F.col(REJECT).isNotNull()
     report = rows.groupBy(F.col("_file").alias("file")).agg(
         F.count(F.lit(1)).alias("row_parsed"),
         F.count_if(~bad).alias("row_count"),
         F.count_if(bad).alias("error_count"),
         F.min_by(REJECT, F.when(bad, F.col("_place"))).alias("first_error"))
+    if lines is not None:
+        bad_rows = report.where(F.col("first_error").isNotNull()).select("file", F.col("first_error").alias("line"))
+        numbers = line_numbers(lines, bad_rows).select("file", F.col("number").alias("first_error_line"))
+        report = report.join(numbers, "file", "left")
     if files is not None:
         counts = ["row_parsed", "row_count", "error_count"]
         report = files.select(F.col("path").alias("file")).join(report, "file", "left").fillna(0, subset=counts)

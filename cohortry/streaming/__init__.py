@@ -1,3 +1,4 @@
 """Structured Streaming jobs."""
 
-from .jobs import daily_stream, enrich_stream, ingest_stream, upsert_stream, write_stream
+from .jobs import (daily_stream, enrich_stream, ingest_stream, load_history, load_stream, loaded_rows, rejected_rows,
+                   upsert_stream, write_stream)

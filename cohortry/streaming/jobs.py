@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortry.functions.scalars import as_col
-from cohortry.operators import merge_partitions
+from cohortry.operators import left_enrich, merge_partitions
+from cohortry.sources.files import REJECT, load_report
 
 
 def _trigger(writer, trigger_once: bool):
@@ -34,6 +35,51 @@ def ingest_stream(spark: SparkSession, src: str, schema: T.StructType, fmt: str
     return reader.load(src)
 
 
+def load_stream(spark: SparkSession, src: str, schema: T.StructType, out: str, checkpoint: str, sep: str = "\t",
+                header: bool = False, glob: str | None = None, max_files: int | None = None,
+                trigger_once: bool = True) -> StreamingQuery:
+    """Loads delimited files as they arrive, keeping rejected rows and a history of the files.
+
+    One pass writes both: ``out/rows`` holds every row, rejected ones in folders of their own with their text
+    and file.  ``out/history`` has a row for each file, from the rows stored.  Each batch writes to its own
+    folder and replaces it if it runs again, so nothing is loaded twice.  See :func:`loaded_rows`,
+    :func:`rejected_rows` and :func:`load_history`.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())])
+    stream = ingest_stream(spark, src, wide, "csv", glob, max_files, sep=sep, header=header, quote='"', escape='"',
+                           dateFormat="yyyy-MM-dd", mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT)
+    # see read_tolerant: ties the reject text to all columns, so that whole rows are judged
+    whole = F.hash(*schema.fieldNames()) >= F.lit(-2**31)
+    rows = stream.select(*schema.fieldNames(), F.when(whole, F.col(REJECT)).alias(REJECT),
+                         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        at = f"{out}/rows/batch={batch_id}"
+        placed = batch.withColumn("_place", F.struct("_block", F.monotonically_increasing_id().alias("row"))).drop("_block")
+        placed.withColumn("rejected", F.col(REJECT).isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(at)
+        kept = batch.sparkSession.read.schema(f"{REJECT} string, _file string, _place struct<_block:bigint,row:bigint>").parquet(at)
+        load_report(kept).withColumn("loaded_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(
+            f"{out}/history/batch={batch_id}")
+    return _trigger(rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), trigger_once).start()
+
+
+def loaded_rows(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """Good rows that :func:`load_stream` stored."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(f"{out}/rows")
+    return rows.where("NOT rejected").select(*schema.fieldNames())
+
+
+def rejected_rows(spark: SparkSession, out: str) -> DataFrame:
+    """Rejected rows that :func:`load_stream` stored: file and text."""
+    rows = spark.read.schema(f"{REJECT} string, _file string, rejected boolean").parquet(f"{out}/rows")
+    return rows.where("rejected").select("_file", F.col(REJECT).alias("record"))
+
+
+def load_history(spark: SparkSession, out: str) -> DataFrame:
+    """One row for each file :func:`load_stream` has read, as ``load_report`` gives it, and when."""
+    return spark.read.parquet(f"{out}/history").drop("batch")
+
+
 def write_stream(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
                  partition_by: Sequence[str] = (), trigger_once: bool = True) -> StreamingQuery:
     """Appends a stream to a Parquet table, exactly once."""
@@ -82,7 +128,10 @@ def daily_stream(stream: DataFrame, ts: str, id_col: str, value: str,
 
 
 def enrich_stream(stream: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Stream with static dimensions looked up: ``[(dimension, key columns), ...]``."""
+    """Stream with static dimensions looked up: ``[(dimension, key columns), ...]``.
+
+    Rows with a NULL key match nothing; they are dealt out by a hash of the row instead of meeting in one task.
+    """
     for dim, on in dims:
-        stream = stream.join(dim, list(on), "left")
+        stream = left_enrich(stream, dim, list(on), spread_by=[c for c, t in stream.dtypes if not t.startswith("map")])
     return stream

@@ -166,6 +166,19 @@ CONFIG_ENTRIES = (
     "AS keywords, CASE r_name WHEN 'EUROPE' THEN '2001-06-01' END AS date_start, "
     "CASE r_name WHEN 'EUROPE' THEN '2001-07-01' END AS date_end FROM region")
 
+# many audiences: one per brand and fortieth of the terminals; a customer belongs to one, a fortieth has no window
+MANY_CONFIG = (
+    "SELECT 'many_' || p_brand || '_' || CAST(p_partkey % 40 AS STRING) AS audience_id, "
+    "p_brand || ' no. ' || CAST(p_partkey % 40 AS STRING) AS name, p_brand AS word1, min(p_name) AS word2, "
+    "substr(max(p_name), 3) AS word3, upper(min(p_name)) || ' ' || CAST(max(p_size) AS STRING) AS word4, "
+    "'nothing ' || p_brand AS word5, '2001-0' || CAST(4 + p_partkey % 4 AS STRING) || '-01' AS date_start, "
+    "CASE WHEN p_partkey % 40 = 39 THEN '2001-01-01' ELSE '2001-0' || CAST(5 + p_partkey % 4 AS STRING) || '-01' "
+    "END AS date_end FROM part GROUP BY p_brand, p_partkey % 40, p_partkey % 4")
+MANY_LOOKUP = (
+    "SELECT CAST(c_custkey AS STRING) AS individual_id, 'many_' || p_brand || '_' || CAST(c_custkey % 40 AS STRING) "
+    "AS audience_id, 1 AS ver FROM customer JOIN (SELECT DISTINCT p_brand FROM part) b "
+    "ON c_nationkey + 1 = CAST(substr(p_brand, 7) AS INT)")
+
 
 def select_sql(table: str) -> str:
     items = ", ".join(f"{e} AS {n}" for n, e in COLUMNS[table].items())

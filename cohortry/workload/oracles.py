@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from cohortry.functions import codes
 from cohortry.plans.enrich import LOCATION, MERCHANT, TAXONOMY
+from cohortry.plans.rules import RULES
 from cohortry.plans.summary import DISTINCT_COLUMNS, LIST_COLUMNS, MODE_COLUMNS
+from cohortry.schemas import comment_of
 
 from . import adapters as A
 
@@ -385,6 +387,45 @@ out AS (SELECT *, active AS active_matched_ids, shoppers AS brand_shoppers, tx A
 SELECT audience_size, {big(*COUNTS)}, {dbl('brand_spend', *RATE_COLUMNS)} FROM out"""
 
 
+def validation_many() -> str:
+    words = ", ".join(f"word{i}" for i in range(1, 6))
+    out = (f"SELECT audience_name, audience_id, {big(*COUNTS)}, {dbl('brand_spend', *RATE_COLUMNS)}, "
+           "CAST(NULL AS VARCHAR) AS error FROM out")
+    nothing = ", ".join(f"NULL AS {c}" for c in (*COUNTS, "brand_spend", *RATE_COLUMNS))
+    return f"""WITH {FACT}, entries AS ({A.MANY_CONFIG}), lookup AS ({A.MANY_LOOKUP}),
+config AS (SELECT audience_id, name, CAST(date_start AS DATE) AS s, CAST(date_end AS DATE) AS e, [{words}] AS words FROM entries),
+sound AS (SELECT * FROM config WHERE s < e),
+names AS (SELECT DISTINCT brand_name, store_name, merchant_description FROM fact),
+fits AS (SELECT DISTINCT audience_id, s, e, brand_name, store_name, merchant_description
+ FROM (SELECT audience_id, s, e, unnest(words) AS w FROM sound) k JOIN names
+ ON contains(upper(concat_ws(chr(1), brand_name, store_name, merchant_description)), upper(w))),
+hits AS (SELECT audience_id, individual_id, txid, trans_amount FROM fact f JOIN fits h
+ ON f.brand_name IS NOT DISTINCT FROM h.brand_name AND f.store_name IS NOT DISTINCT FROM h.store_name
+ AND f.merchant_description IS NOT DISTINCT FROM h.merchant_description AND trans_date >= s AND trans_date < e),
+spans AS (SELECT DISTINCT s, e FROM sound),
+seen AS (SELECT DISTINCT s, e, individual_id FROM fact JOIN spans ON trans_date >= s AND trans_date < e
+ WHERE individual_id IS NOT NULL),
+base_all AS (SELECT s, e, count(*) AS base_active FROM seen GROUP BY s, e),
+base AS (SELECT audience_id, count(DISTINCT individual_id) AS base_shoppers, CAST(sum(trans_amount) AS DOUBLE) AS base_spend
+ FROM hits GROUP BY audience_id),
+bought AS (SELECT audience_id, individual_id, count(txid) AS tx, sum(trans_amount) AS spend FROM hits
+ WHERE individual_id IS NOT NULL GROUP BY ALL),
+met AS (SELECT c.audience_id, count(*) AS total, count(v.individual_id) AS active, count(b.individual_id) AS shoppers,
+ COALESCE(sum(b.tx), 0) AS tx, COALESCE(CAST(sum(b.spend) AS DOUBLE), 0) AS spend
+ FROM sound c JOIN (SELECT DISTINCT audience_id, individual_id FROM lookup) l ON l.audience_id = c.audience_id
+ LEFT JOIN seen v ON v.s = c.s AND v.e = c.e AND v.individual_id = l.individual_id
+ LEFT JOIN bought b ON b.audience_id = c.audience_id AND b.individual_id = l.individual_id GROUP BY c.audience_id),
+rows_ AS (SELECT c.name AS audience_name, c.audience_id, COALESCE(total, 0) AS total_lal_ids, COALESCE(active, 0) AS active,
+ COALESCE(shoppers, 0) AS shoppers, COALESCE(tx, 0) AS tx, COALESCE(spend, 0) AS spend,
+ COALESCE(base_active, 0) AS base_active, COALESCE(base_shoppers, 0) AS base_shoppers, COALESCE(base_spend, 0) AS base_spend
+ FROM sound c LEFT JOIN met USING (audience_id) LEFT JOIN base_all a ON a.s = c.s AND a.e = c.e
+ LEFT JOIN base USING (audience_id)),
+out AS (SELECT *, active AS active_matched_ids, shoppers AS brand_shoppers, tx AS brand_transactions,
+ spend AS brand_spend, base_active AS baseline_active_ids, base_shoppers AS baseline_brand_shoppers, {RATES} FROM rows_)
+{out} UNION ALL BY NAME SELECT name AS audience_name, audience_id, {nothing}, 'the window is empty' AS error
+FROM config WHERE NOT s < e"""
+
+
 def run_delta() -> str:
     metrics = ("total_lal_ids", "active_matched_ids", "brand_shoppers", "brand_spend", "shop_rate")
 
@@ -630,6 +671,7 @@ ORACLES: dict[str, str] = {
     "audience_validation": f"WITH {FACT}, {CONFIG}, {LATEST}, {_validated('latest', 'result')} SELECT "
                            f"audience_name, audience_id, {big(*COUNTS)}, "
                            f"{dbl('brand_spend', *RATE_COLUMNS)}, CAST(NULL AS VARCHAR) AS error FROM result",
+    "validation_many": validation_many(),
     "validation_by_seed": f"WITH {FACT}, {CONFIG}, {LATEST}, flagged AS (SELECT l.audience_id, "
                           "l.individual_id, CASE WHEN s.individual_id IS NULL THEN 0 ELSE 1 END AS "
                           f"is_seed FROM latest l LEFT JOIN ({seed(minimum=1)}) s ON s.individual_id "
@@ -687,3 +729,60 @@ ORACLES["stream_enrich"] = (
     f"WITH card AS ({A.select_sql('card')}) SELECT e.event_id, e.user_id, ROUND(e.value, 6) AS "
     "value, c.card_type, c.individual_id FROM events e LEFT JOIN card c "
     "ON CAST(c.membccid AS BIGINT) = e.user_id")
+
+_SOUND = f"NOT ({BAD_BALANCE} OR {BAD_DATE})"
+_SEGMENTS = ("SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS place, "
+             f"{_SOUND} AS sound FROM customer")
+_FILE_COUNTS = ("c_mktsegment AS segment, count(*) AS row_parsed, count(*) FILTER (WHERE sound) AS row_count, "
+                "count(*) FILTER (WHERE NOT sound) AS error_count, CASE WHEN bool_and(sound) THEN 'LOADED' "
+                "WHEN bool_or(sound) THEN 'PARTIALLY_LOADED' ELSE 'LOAD_FAILED' END AS status, "
+                "CAST(min(c_custkey) FILTER (WHERE NOT sound) AS VARCHAR) AS first_custkey")
+_LOADED = "c_custkey AS custkey, '2001-01-05' AS opened, ROUND(c_acctbal, 6) AS balance"
+ORACLES["load_report_files"] = (
+    f"SELECT {_FILE_COUNTS}, 1 + min(place) FILTER (WHERE NOT sound) AS first_error_line FROM ({_SEGMENTS}) GROUP BY ALL")
+ORACLES["stream_load_history"] = f"SELECT {_FILE_COUNTS} FROM ({_SEGMENTS}) GROUP BY ALL"
+ORACLES["list_segments"] = ("SELECT DISTINCT c_mktsegment AS segment, TRUE AS filled FROM customer "
+                            "WHERE regexp_matches(c_mktsegment, '^[A-M]')")
+ORACLES["load_stamped"] = f"SELECT {_LOADED}, TRUE AS stamped FROM customer WHERE {_SOUND}"
+ORACLES["stream_load_good"] = f"SELECT {_LOADED} FROM customer WHERE {_SOUND}"
+ORACLES["stream_load_rejects"] = ("SELECT c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS custkey FROM customer "
+                                  f"WHERE NOT ({_SOUND})")
+ORACLES["load_columns"] = (
+    f"WITH tx AS ({A.select_sql('tx')}) SELECT txid, mtid, membccid, CAST(trans_date AS VARCHAR) AS trans_date, trans_time, "
+    "trans_time_zone, ROUND(CAST(trans_amount AS DOUBLE), 6) AS trans_amount, CAST(delivery_date AS VARCHAR) AS delivery_date FROM tx")
+ORACLES["csv_export"] = ("SELECT c_custkey AS custkey, c_name || ', \"' || c_mktsegment || '\"' AS label, "
+                         "CAST(c_acctbal AS VARCHAR) AS balance FROM customer")
+ORACLES["saved_audience"] = f"WITH {_scored()} SELECT individual_id, {big('is_seed')}, similarity_score FROM board"
+ORACLES["clustered_fact"] = ORACLES["enrich"]
+ORACLES["merged_drop"] = ('SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS "C_Name", '
+                          "CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer")
+ORACLES["seed_cause"] = f"WITH {FACT} {seed()}"
+ORACLES["seed_gaming"] = f"WITH {FACT} {seed(months=6)}"
+ORACLES["stream_daily_summary"] = ORACLES["daily_summary"]
+ORACLES["stream_upsert_late"] = ORACLES["stream_upsert"]
+
+
+def _dq_products() -> str:
+    rows = {"fact": "enrich", "daily_summary": "daily_summary", "rfm_features": "rfm_features", "attributes": "attributes",
+            "person_rollup": "person_rollup", "household_rollup": "household_rollup", "media_rollup": "media_rollup"}
+    tables = ", ".join(f"p_{product} AS MATERIALIZED ({ORACLES[query]})" for product, query in rows.items())
+    counts = []
+    for product, rules in RULES.items():
+        for kind, arg in rules:
+            target = arg if isinstance(arg, str) else ",".join(arg)
+            table, nulls = f"p_{product}", "CAST(0 AS BIGINT)"
+            if kind == "not_null":
+                failed = nulls = f"(SELECT count(*) FROM {table} WHERE {arg} IS NULL)"
+            elif kind == "expr":
+                failed = f"(SELECT count(*) FROM {table} WHERE NOT ({arg}))"
+                nulls = f"(SELECT count(*) FROM {table} WHERE ({arg}) IS NULL)"
+            else:
+                known = f"WHERE {arg} IS NOT NULL" if kind == "unique" else ""
+                failed = f"(SELECT count(*) FROM (SELECT {target} FROM {table} {known} GROUP BY ALL HAVING count(*) > 1))"
+            counts.append(f"SELECT '{product}' AS product, '{kind}' AS rule, '{target}' AS target, {failed} AS failures, {nulls} AS nulls")
+    return f"WITH {tables} " + " UNION ALL ".join(counts)
+
+
+ORACLES["dq_products"] = _dq_products()
+ORACLES["documented_table"] = "SELECT * FROM (VALUES " + ", ".join(
+    "('{}', '{}')".format(c, comment_of(c).replace("'", "''")) for c in ATTR_COLUMNS) + ") t(col_name, comment)"

@@ -6,6 +6,7 @@ compare across engines; the library itself returns native types.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -19,18 +20,19 @@ from cohortry.functions import (codes, in_range, keyword_match, likely, map_text
 from cohortry.operators import (active_ids, category_importance, category_shares, cohort_except,
                                 cohort_intersect, cohort_union, count_distinct_ids,
                                 distinct_rows, expr_true,
-                                hot_key_hashes, label_membership, latest_version, materialise, not_null,
+                                label_membership, latest_version, materialise, not_null,
                                 numeric_profile, ref_date, report, scratch_path, since_high_water,
-                                summarise, top_n, unique, unique_combo, upsert, window_diversity)
-from cohortry.plans import (audiences_from, build_fact, daily_summary, enrich_transactions, household_rollup,
+                                summarise, top_n, unique, unique_combo, upsert, window_diversity, with_month)
+from cohortry.plans import (audiences_from, build_fact, check_products, daily_summary, daily_summary_stream,
+                            enrich_transactions, household_rollup,
                             lookalike_scores, media_long, media_rollup, person_attributes,
                             person_rollup, population_features, preset, reach_curve, rfm_features,
                             rfm_segments, run_delta, score_population, seed_grid, seed_ids,
-                            validate_audiences)
-from cohortry.sources import (load_report, merge_defaults, read_parquet_by_name, read_tolerant,
-                              row_counts)
-from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, upsert_stream,
-                                write_stream)
+                            validate_audiences, write_fact)
+from cohortry.sources import (list_files, load, load_report, merge_defaults, read_delimited, read_lines,
+                              read_parquet_by_name, read_tolerant, row_counts, save_table, write_csv)
+from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, load_history, load_stream, loaded_rows,
+                                rejected_rows, upsert_stream, write_stream)
 
 from . import adapters as A
 from .adapters import Domain
@@ -134,6 +136,99 @@ def load_good(d):
     return rows.where(F.col("_corrupt_record").isNull()).select(*DROP_SCHEMA.fieldNames())
 
 
+def _segment_files(d) -> str:
+    """Customers as CSV with a header, one file a segment in the order of their keys, some values unreadable."""
+    path = scratch_path(d.spark, "segments")
+    rows = d.sql(
+        "SELECT c_custkey AS custkey, CASE WHEN c_custkey % 11 = 3 THEN 'soon' ELSE '2001-01-05' END AS opened, "
+        "CASE WHEN c_custkey % 7 = 2 THEN 'n/a' ELSE CAST(c_acctbal AS STRING) END AS balance, "
+        "c_mktsegment AS segment FROM customer")
+    rows.repartition("segment").sortWithinPartitions("segment", "custkey").write.partitionBy("segment").option(
+        "header", True).csv(path)
+    return path
+
+
+SEGMENT_SCHEMA = schemas.struct([("custkey", "int"), ("opened", "date"), ("balance", "double")])
+
+
+def _segment(path_col: str):
+    return F.regexp_extract(path_col, "segment=([^/]*)/", 1).alias("segment")
+
+
+def load_report_files(d):
+    """Per file: counts, status and the line of the first row that was rejected."""
+    path = _segment_files(d)
+    rows = read_tolerant(d.spark, path, SEGMENT_SCHEMA, sep=",", header=True)
+    found = load_report(rows, list_files(d.spark, path, glob="*.csv"), read_lines(d.spark, path, glob="*.csv"))
+    return found.select(_segment("file"), "row_parsed", "row_count", "error_count", "first_error_line", "status",
+                        F.split("first_error", ",")[0].alias("first_custkey"))
+
+
+def list_segments(d):
+    """The files of a folder whose path fits a pattern."""
+    files = list_files(d.spark, _segment_files(d), pattern=r"segment=[A-M][^/]*/part-[^/]*\.csv$")
+    return files.select(_segment("path"), (F.col("length") > 0).alias("filled"))
+
+
+def load_stamped(d):
+    """Good rows with the time they were loaded."""
+    begin = d.spark.sql("SELECT current_timestamp()").first()[0]
+    good, _ = load(d.spark, _segment_files(d), SEGMENT_SCHEMA, sep=",", header=True)
+    return good.select("custkey", "opened", "balance", (F.col("load_timestamp") >= F.lit(begin)).alias("stamped"))
+
+
+def load_columns(d):
+    """Delivered columns in another order, some of them not wanted: those of the typed catalog stay."""
+    path = scratch_path(d.spark, "columns")
+    d.tx.withColumn("surplus", F.lit(1)).select("surplus", *reversed(d.tx.columns)).write.parquet(path)
+    return read_parquet_by_name(d.spark, path, schemas.TABLES["transaction"]).select(*schemas.load_columns("transaction"))
+
+
+def csv_export(d):
+    """The customers exported with a header and read back, commas, quotes and blanks included."""
+    path = scratch_path(d.spark, "export")
+    rows = d.sql("SELECT c_custkey AS custkey, c_name || ', \"' || c_mktsegment || '\"' AS label, "
+                 "CAST(c_acctbal AS STRING) AS balance FROM customer")
+    write_csv(rows, path)
+    return read_delimited(d.spark, path, schemas.struct([("custkey", "int"), ("label", "string"), ("balance", "string")]),
+                          sep=",", header=True)
+
+
+def _table_name() -> str:
+    return f"cohortry_{uuid.uuid4().hex}"
+
+
+def saved_audience(d):
+    """Scores stored as a catalog table, clustered by id, and read back."""
+    name = _table_name()
+    save_table(_scores(d).select(ID, "is_seed", "similarity_score"), name, cluster_by=[ID])
+    return d.spark.table(name)
+
+
+def documented_table(d):
+    """The comments that the catalog keeps of the person dimension's columns."""
+    name = _table_name()
+    save_table(schemas.with_comments(_attrs(d)), name, comment="One row per person: 'decoded' demographics")
+    return d.spark.sql(f"DESCRIBE TABLE {name}").select("col_name", "comment")
+
+
+def clustered_fact(d):
+    """The fact stored by month, sorted by date and person in each file, and read whole."""
+    path = scratch_path(d.spark, "clustered")
+    write_fact(_fact(d), path)
+    return d.spark.read.parquet(path).drop("trans_month")
+
+
+def merged_drop(d):
+    """A drop whose files have different columns in different spelling, matched by name."""
+    path = scratch_path(d.spark, "unlike")
+    d.sql("SELECT c_custkey AS C_CUSTKEY, c_name FROM customer WHERE c_custkey % 2 = 0").write.parquet(path)
+    d.sql("SELECT c_custkey AS C_CUSTKEY, c_mktsegment, c_acctbal AS surplus FROM customer WHERE c_custkey % 2 = 1").write.mode(
+        "append").parquet(path)
+    return read_parquet_by_name(d.spark, path, schemas.struct([("c_custkey", "int"), ("C_Name", "string"),
+                                                               ("c_mktsegment", "string")]))
+
+
 def load_report_totals(d):
     per_file = load_report(_dropped_files(d))
     return per_file.agg(F.sum("row_parsed").alias("row_parsed"), F.sum("row_count").alias("row_count"),
@@ -174,9 +269,7 @@ def q_daily_summary(d):
 
 def daily_summary_spread(d):
     """The largest groups are aggregated value by value, as groups too large for one task would be."""
-    fact = materialise(_fact(d))
-    known = fact.where(F.col(ID).isNotNull())
-    return daily_summary(fact, hot=hot_key_hashes(known, ["trans_date", ID], 8, share=0))
+    return daily_summary(materialise(_fact(d)), split_from=8)
 
 
 def daily_mode(d):
@@ -229,9 +322,9 @@ def build_range(d):
 def merge_upsert(d):
     """Summary up to a date, upserted with a later run that overlaps it by a month."""
     fact = _fact(d)
-    old = daily_summary(fact.where(F.col("trans_date") <= F.lit(MID)), hot=()) \
+    old = daily_summary(fact.where(F.col("trans_date") <= F.lit(MID)), split_from=None) \
         .withColumn("transaction_count", F.col("transaction_count") + 1000)
-    new = daily_summary(fact, since=date(2001, 2, 28), hot=())
+    new = daily_summary(fact, since=date(2001, 2, 28), split_from=None)
     cols = ["trans_date", ID, "transaction_count", "total_transaction_amount"]
     return upsert(old.select(*cols), new.select(*cols), ["trans_date", ID])
 
@@ -371,7 +464,8 @@ def media_rollup_unique(d):
 
 # --- features and seeds ------------------------------------------------------------------------
 def q_rfm_features(d):
-    return rfm_features(_fact(d))
+    """The reference date is that of the latest transaction, read from the transactions alone."""
+    return rfm_features(_fact(d), _ref(d))
 
 
 def rfm_pinned(d):
@@ -394,6 +488,14 @@ def seed_retail(d):
     return _seed(d, **preset("retail"))
 
 
+def seed_cause(d):
+    return _seed(d, **preset("cause"))
+
+
+def seed_gaming(d):
+    return _seed(d, **preset("gaming", lookback_months=6))
+
+
 def seed_holiday(d):
     args = preset("holiday", keywords=["RING", "WIDGET"])
     return _seed(d, **args)
@@ -477,6 +579,14 @@ def audience_validation(d):
                               _fact(d))
 
 
+def validation_many(d):
+    """Some thousand audiences of five keywords, some of them without a window."""
+    entries = d.sql(A.MANY_CONFIG).withColumn("brand_keywords", F.array(*[f"word{i}" for i in range(1, 6)]))
+    lookup = d.sql(A.MANY_LOOKUP)
+    return validate_audiences(d.spark, audiences_from(merge_defaults(entries, {})), lookup,
+                              lookup.select("audience_id", "ver").distinct(), _fact(d))
+
+
 def validation_by_seed(d):
     fact = _fact(d)
     return validate_audiences(d.spark, audiences_from(_audiences(d)), d.lookup, d.metadata, fact,
@@ -549,6 +659,16 @@ def dq_report(d):
         ("unique_combo", ("trans_date", ID))])
 
 
+def dq_products(d):
+    """All products stored, and what their rules find."""
+    fact = materialise(_fact(d))
+    attrs = materialise(_attrs(d))
+    return check_products(
+        {"fact": fact, "daily_summary": daily_summary(fact), "rfm_features": rfm_features(fact, _ref(d)), "attributes": attrs,
+         "person_rollup": person_rollup(attrs), "household_rollup": household_rollup(attrs), "media_rollup": media_rollup(attrs)},
+        scratch_path(d.spark, "products"))
+
+
 # --- streaming ---------------------------------------------------------------------------------
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -583,6 +703,55 @@ def stream_daily(d):
     return d.spark.read.schema(daily.schema).parquet(out + "/data").drop("month")
 
 
+def _load_stream(d) -> str:
+    src, out = _segment_files(d), scratch_path(d.spark, "loaded")
+    for _ in range(2):  # the second run finds nothing new
+        _run(load_stream(d.spark, src + "/*", SEGMENT_SCHEMA, out, out + "-checkpoint", sep=",", header=True, max_files=2))
+    return out
+
+
+def stream_load_good(d):
+    return loaded_rows(d.spark, _load_stream(d), SEGMENT_SCHEMA)
+
+
+def stream_load_rejects(d):
+    bad = rejected_rows(d.spark, _load_stream(d))
+    return bad.select(_segment("_file"), F.split("record", ",")[0].alias("custkey"))
+
+
+def stream_load_history(d):
+    found = load_history(d.spark, _load_stream(d))
+    return found.select(_segment("file"), "row_parsed", "row_count", "error_count", "status",
+                        F.split("first_error", ",")[0].alias("first_custkey"))
+
+
+def stream_daily_summary(d):
+    """The daily summary kept by a stream over three deliveries, some rows up to two days late."""
+    src, out = scratch_path(d.spark, "fact-drops"), scratch_path(d.spark, "summary-stream")
+    fact = materialise(_fact(d))
+    delivered = F.date_add("trans_date", F.pmod(F.xxhash64("txid", "trans_time"), F.lit(3)).cast("int"))
+    for inside in (delivered <= F.lit(MID), (delivered > F.lit(MID)) & (delivered <= F.lit(PINNED)),
+                   delivered > F.lit(PINNED)):
+        fact.where(inside).write.mode("append").parquet(src)
+        days = daily_summary_stream(ingest_stream(d.spark, src, fact.schema, "parquet"), "3 days")
+        days = with_month(days, "trans_date")
+        _run(upsert_stream(days, out, ["trans_date", ID], "trans_month", out + "-checkpoint", mode="update"))
+    return d.spark.read.schema(days.schema).parquet(out).drop("trans_month")
+
+
+def stream_upsert_late(d):
+    """Latest event per user from two deliveries, the later events first."""
+    src, out = scratch_path(d.spark, "event-drops"), scratch_path(d.spark, "upsert-late")
+    events = d.spark.read.schema(EVENTS).parquet(f"{d.dir}/events.parquet")
+    for late in (False, True):
+        part = F.pmod(F.dayofmonth("ts"), F.lit(2)) == int(late)  # days by turns
+        events.where(part).write.mode("append").parquet(src)
+        stream = ingest_stream(d.spark, src, EVENTS, "parquet").select(
+            "user_id", "ts", "event_id", "event_type", (F.col("user_id") % 4).cast("int").alias("shard"))
+        _run(upsert_stream(stream, out, ["user_id"], "shard", out + "-checkpoint", order_by="ts"))
+    return d.spark.read.schema(stream.schema).parquet(out).select("user_id", "event_id", "event_type", "shard")
+
+
 def stream_upsert(d):
     """Latest event per user, kept by upserting the stream into a table."""
     out = scratch_path(d.spark, "upsert")
@@ -635,13 +804,20 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "top_n_ranges": top_n_ranges, "lookalike_scores_n": lookalike_scores_n,
     "lookalike_scores_half": lookalike_scores_half,
     "latest_version": q_latest_version, "audience_validation": audience_validation,
-    "validation_by_seed": validation_by_seed, "reach_curve": q_reach_curve,
+    "validation_many": validation_many, "validation_by_seed": validation_by_seed, "reach_curve": q_reach_curve,
     "run_delta": q_run_delta, "semi_active": semi_active, "count_ids": count_ids, "cohort_union": q_cohort_union,
     "cohort_intersect": q_cohort_intersect, "cohort_except": q_cohort_except,
     "dq_unique": dq_unique, "dq_not_null": dq_not_null, "dq_unique_combo": dq_unique_combo,
     "dq_expression": dq_expression, "dq_report": dq_report,
     "stream_ingest": stream_ingest, "stream_daily": stream_daily, "stream_upsert": stream_upsert,
     "stream_enrich": stream_enrich,
+    "load_report_files": load_report_files, "list_segments": list_segments, "load_stamped": load_stamped,
+    "load_columns": load_columns, "csv_export": csv_export, "saved_audience": saved_audience,
+    "documented_table": documented_table, "clustered_fact": clustered_fact, "merged_drop": merged_drop,
+    "seed_cause": seed_cause, "seed_gaming": seed_gaming, "dq_products": dq_products,
+    "stream_load_good": stream_load_good, "stream_load_rejects": stream_load_rejects,
+    "stream_load_history": stream_load_history, "stream_daily_summary": stream_daily_summary,
+    "stream_upsert_late": stream_upsert_late,
 }
 
 

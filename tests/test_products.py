@@ -33,11 +33,11 @@ def sources(spark):
                                  ("c2", "10002", "DB", "A1", "p2", None),
                                  ("c3", "10003", "DB", "A1", None, None)])
     merchant = frame(spark, "merchant", [
-        ("m1", "ROSS 12", "5651", "NYC", "NY", "10001", "US", None),
+        ("m1", "QUILLMART 12", "5651", "NYC", "NY", "10001", "US", None),
         ("m2", "TARGET 9", "5311", "NYC", "NY", "10002", "US", None)])
     tagging = frame(spark, "brand_tagging", [
         ("m1", 1, 1, "B&M", "l1"), ("m1", 2, 2, "ONLINE", None), ("m3", 3, 3, "ONLINE", "l9")])
-    taxonomy = frame(spark, "brand_taxonomy", [(1, 1, "Ross", "ROSS", "D", "D", 1),
+    taxonomy = frame(spark, "brand_taxonomy", [(1, 1, "Quillmart", "QUILLMART", "D", "D", 1),
                                                (2, 2, "dd's", "DDS", "D", "P", 0)])
     location = frame(spark, "brand_location",
                      [("l1", "1 Main", "NYC", "NY", "10001", "US", "2001", None)])
@@ -89,7 +89,7 @@ def test_summary_lists_need_two_values(spark):
     p1, p2 = got[D(2025, 9, 1), "p1"], got[D(2025, 8, 1), "p2"]
     assert len(p1.asDict()) == 35 and set(k[1] for k in got) == {"p1", "p2"}
     assert p1["transaction_count"] == 3 and p1["total_transaction_amount"] == 40.0
-    assert p1["brand_name_str_list"] == "DDS,ROSS"          # two values
+    assert p1["brand_name_str_list"] == "DDS,QUILLMART"          # two values
     assert p1["merchant_state_str_list"] is None            # one value
     assert p2["brand_name_str_list"] is None                # none
     assert (p1["unique_brand_count"], p2["unique_brand_count"]) == (2, 1)
@@ -195,15 +195,15 @@ def test_rfm_window_edges(spark):
 
 def test_seed_grid_and_tuning(spark):
     ref = D(2025, 3, 31)
-    data = [(f"p{i}", D(2025, 3, 1), 1.0, "B&M", "ROSS") for i in range(6) for _ in range(i + 1)]
-    data += [("p9", D(2024, 4, 30), 1.0, "B&M", "ROSS")] * 9
+    data = [(f"p{i}", D(2025, 3, 1), 1.0, "B&M", "QUILLMART") for i in range(6) for _ in range(i + 1)]
+    data += [("p9", D(2024, 4, 30), 1.0, "B&M", "QUILLMART")] * 9
     fact = small_fact(spark, data)
     rfm = rfm_features(fact, ref)
-    grid = seed_grid(fact, rfm, ["ross"], ref)
+    grid = seed_grid(fact, rfm, ["quillmart"], ref)
     size = {(r[0], r[1], r[2]): r[3] for r in grid.collect()}
     assert size[12, 3, None] == 5 and size[12, 3, 180] == 4 and size[6, 5, None] == 2
     for (months, k, recency), n in size.items():
-        ids = seed_ids(fact, ["ross"], ref, months, k, rfm=rfm, max_recency=recency)
+        ids = seed_ids(fact, ["quillmart"], ref, months, k, rfm=rfm, max_recency=recency)
         assert ids.count() == n
     assert tune_seed(grid, (3, 3)).min_transactions == 5
     assert tune_seed(grid, (100, 200)).seed_size == 5       # all below: the loosest

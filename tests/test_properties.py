@@ -71,10 +71,31 @@ def test_build_all(spark, domain, tmp_path):
                       rfm_ref_date=date(2001, 6, 30))
     assert built["fact"].count() == 6000
     assert rows(built["rfm_features"]) == rows(rfm_features(_fact(domain), date(2001, 6, 30)))
+    found = {(r["product"], r["rule"], r["target"]): r["failures"] for r in built["quality"].collect()}
+    assert len(found) == 25 and found["fact", "not_null", "txid"] == 0
+    assert built["rfm_features"].schema["last_txn_date"].metadata["comment"]
     assert built["attributes"].count() == built["person_rollup"].count() == _attrs(domain).count()
     assert len(list((tmp_path / "fact").glob("trans_month=*"))) > 12
 
 
+@pytest.mark.parametrize("mode", [{"mode": "incremental"}, {"mode": "range", "start": date(2001, 1, 20), "end": date(2001, 2, 10)}])
+@pytest.mark.parametrize("left", ["_temporary/0/x", "trans_month=2001-01/part-0.parquet"])
+def test_a_first_run_that_died_while_writing_is_made_good(spark, domain, tmp_path, left, mode):
+    """The folder of the fact is there, the mark of a finished write is not."""
+    from cohortry.plans import build_fact
+    sources = {"transaction": domain.tx, "card": domain.card, "merchant": domain.merchant, "brand_tagging": domain.tagging,
+               "brand_taxonomy": domain.taxonomy, "brand_location": domain.location, "control": domain.control,
+               "exposed": domain.exposed}
+    (tmp_path / "fact" / left).parent.mkdir(parents=True)
+    (tmp_path / "fact" / left).write_bytes(b"half")
+    spark.createDataFrame([(True, None, None)], "every boolean, first date, last date").write.parquet(str(tmp_path / "_summary_due"))
+    found = build_fact(spark, sources, str(tmp_path), **mode)
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    assert stored.count() == 6000 and not (tmp_path / "_summary_due").exists()
+    assert spark.read.parquet(str(tmp_path / "daily_summary")).count() == daily_summary(stored).count()
+    assert {r["product"] for r in found.collect()} == {"fact", "daily_summary"}
+
+
 @pytest.mark.parametrize("failed", [None, {"mode": "incremental"}, {"mode": "incremental", "lookback_days": 40},
                                     {"mode": "range", "start": date(2001, 1, 20), "end": date(2001, 2, 10)}])
 def test_a_run_that_fails_before_the_summary_is_made_good(spark, domain, tmp_path, monkeypatch, failed):

@@ -4,8 +4,8 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from cohortry.operators import (cluster, hot_key_hashes, is_hot, label_membership, left_enrich,
-                                score_cut, summarise, top_n, with_rank)
+from cohortry.operators import (cluster, label_membership, large_groups, left_enrich,
+                                materialise, score_cut, summarise, top_n, with_rank)
 
 
 @pytest.fixture(scope="module")
@@ -19,42 +19,47 @@ def skewed(spark):
         F.when(F.col("id") % 5 != 0, F.concat(F.lit("v"), F.col("id") % 41)).alias("v"))
 
 
-def test_hot_keys_are_found(spark, skewed):
-    hot = hot_key_hashes(skewed, ["k"], min_rows=1000, share=0.1)
-    assert len(hot) == 1
-    assert {r[0] for r in skewed.where(is_hot(["k"], hot)).select("k").distinct().collect()} == {"hot"}
-    assert hot_key_hashes(skewed, ["k"]) == []          # too few rows to matter
-    assert hot_key_hashes(skewed.limit(0), ["k"], min_rows=1) == []
+def test_large_groups_are_found(spark, skewed):
+    assert rows(large_groups(skewed, ["k"], 1000)) == [("hot", 3)]
+    assert rows(large_groups(skewed, ["k"])) == []          # too few rows to matter
+    assert rows(large_groups(skewed.limit(0), ["k"], 1)) == []
+    null = skewed.where("k is null")
+    assert rows(large_groups(null, ["k"], 50)) == [(None, -(-null.count() // 50))]
 
 
-def test_summary_of_hot_groups_is_the_same(spark, skewed):
+def test_summary_of_large_groups_is_the_same(spark, skewed):
     args = dict(metrics={"rows": F.count(F.lit(1)), "total": F.sum("n")},
                 mode_cols={"top_v": "v", "top_n": "n"}, distinct_cols={"n": "ns", "v": "vs"},
                 list_cols={"n": "n_list", "v": "v_list"})
     plain = summarise(skewed, ["k"], **args)
-    hot = hot_key_hashes(skewed, ["k"], min_rows=100, share=0)
-    assert hot
-    spread = summarise(skewed, ["k"], hot=hot, **args)
-    assert spread.columns == plain.columns
-    assert rows(spread) == rows(plain)
-    everything = [r[0] for r in skewed.select(F.xxhash64("k")).distinct().collect()]
-    assert rows(summarise(skewed, ["k"], hot=everything, **args)) == rows(plain)
+    for split_from in (1, 100, 10_000):
+        split = summarise(skewed, ["k"], split_from=split_from, **args)
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
 
 
-def test_hot_lists_without_values(spark):
+def test_any_number_of_groups_is_split(spark):
+    """6,000 groups, each above the bound, and one below."""
+    df = materialise(spark.range(60_005).select((F.col("id") % 6_001).alias("k"), (F.col("id") % 7).alias("v"))
+                     .where("k < 6000 OR v = 0"))
+    args = dict(metrics={"n": F.count(F.lit(1))}, mode_cols={"m": "v"}, distinct_cols={"v": "vs"}, list_cols={"v": "l"})
+    assert large_groups(df, ["k"], 9).count() == 6_000
+    assert rows(summarise(df, ["k"], split_from=9, **args)) == rows(summarise(df, ["k"], **args))
+
+
+def test_large_groups_without_values(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", "x")], "k string, v string")
     args = dict(metrics={}, mode_cols={"m": "v"}, distinct_cols={"v": "n"}, list_cols={"v": "l"})
-    hot = [r[0] for r in df.select(F.xxhash64("k")).distinct().collect()]
-    assert rows(summarise(df, ["k"], hot=hot, **args)) == rows(summarise(df, ["k"], **args)) == [
+    assert rows(summarise(df, ["k"], split_from=1, **args)) == rows(summarise(df, ["k"], **args)) == [
         ("a", None, None, 0), ("b", "x", None, 1)]
 
 
 def test_spread_join_matches_plain_join(spark, skewed):
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("1", 3), (None, 4)], "k string, d int")
     plain = rows(skewed.join(dim, "k", "left"))
-    hot = hot_key_hashes(skewed, ["k"], min_rows=1000, share=0.1)
+    hot = large_groups(skewed.where("k is not null"), ["k"], 1000)
     assert rows(left_enrich(skewed, dim, ["k"], spread_by=["id"])) == plain
-    assert rows(left_enrich(skewed, dim, ["k"], spread_by=["id"], hot=hot)) == plain
+    assert rows(left_enrich(skewed, dim, ["k"], spread_by=["id"], large=hot)) == plain
 
 
 def partition_sizes(df):
@@ -65,8 +70,7 @@ def partition_sizes(df):
 def test_spread_join_really_spreads(spark, skewed, with_hot):
     """Without spreading, one join task gets the hot key (or all NULL keys)."""
     df = skewed if with_hot else skewed.withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
-    hot = hot_key_hashes(df, ["k"], min_rows=1000, share=0.1) if with_hot else []
-    hot = [h for h in hot]
+    hot = large_groups(df.where("k is not null"), ["k"], 100) if with_hot else None
     dim = spark.range(700).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
             "spark.sql.shuffle.partitions": "16"}
@@ -75,7 +79,7 @@ def test_spread_join_really_spreads(spark, skewed, with_hot):
         for c, v in conf.items():
             spark.conf.set(c, v)
         plain = max(partition_sizes(df.join(dim, "k", "left")))
-        spread = max(partition_sizes(left_enrich(df, dim, ["k"], spread_by=["id"], hot=hot)))
+        spread = max(partition_sizes(left_enrich(df, dim, ["k"], spread_by=["id"], large=hot)))
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)

@@ -12,7 +12,7 @@ from cohortry import schemas
 from cohortry.operators import merge_partitions, report
 from cohortry.plans import Audience, audiences_from, validate_audiences
 from cohortry.sources import (CSV, TSV, audience_config, list_files, load, load_audiences,
-                              load_report, read_delimited, read_parquet_by_name, read_tolerant,
+                              load_report, read_delimited, read_lines, read_parquet_by_name, read_tolerant,
                               row_counts, spread, write_csv, write_table)
 
 SCHEMA = schemas.struct([("id", "string"), ("n", "int"), ("d", "date"), ("x", "double")])
@@ -53,6 +53,63 @@ def test_tolerant_load_keeps_rejects(spark, drop):
         load(spark, str(drop), SCHEMA, glob="*.gz", on_error="abort")[0].collect()
 
 
+@pytest.mark.parametrize("header", [False, True])
+def test_line_of_the_first_error_over_many_splits(spark, tmp_path, header):
+    files = {"late": [3100], "none": [], "two": [8, 2999], "head": [0]}
+    for name, bad in files.items():
+        lines = [f"p{i}\t{'x' if i in bad else i}\t2025-01-02\t1.5" + ("\n" if i % 500 == 7 else "") for i in range(4000)]
+        (tmp_path / f"{name}.tsv").write_text("\n".join((["id\tn\td\tx"] if header else []) + lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        read = read_lines(spark, str(tmp_path), "*.tsv")
+        assert read.select("_file", "_block").distinct().count() > 40
+        report_ = load_report(read_tolerant(spark, str(tmp_path), SCHEMA, header=header), lines=read)
+        got = {r["file"].split("/")[-1][:-4]: (r["error_count"], r["first_error_line"]) for r in report_.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, bad in files.items():
+        text = (tmp_path / f"{name}.tsv").read_text().split("\n")
+        want = next((i for i, line in enumerate(text, 1) if "\tx\t2025" in line), None)
+        assert got[name] == (len(bad), want)
+
+
+def test_exported_quotes_come_back(spark, tmp_path):
+    df = spark.createDataFrame([('a "b", c', 1), ('"', 2), ("back\\slash", 3)], "id string, n int")
+    write_csv(df, str(tmp_path / "o"))
+    schema = schemas.struct([("id", "string"), ("n", "int")])
+    assert rows(read_delimited(spark, str(tmp_path / "o"), schema, **CSV)) == rows(df)
+
+
+def test_rules_are_counted_while_writing(spark, tmp_path):
+    from cohortry.plans import failing, write_checked
+    df = spark.range(1000).select(F.when(F.col("id") % 100 != 0, F.col("id") % 990).alias("k"), (F.col("id") - 3).alias("x"))
+    rules = [("unique", "k"), ("not_null", "k"), ("expr", "x >= 0"), ("unique_combo", ("k", "x")), ("unique_combo", ("k",))]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checked", "rules")
+    # range clustering reads its input twice; rows are counted once all the same
+    found = write_checked(df, str(tmp_path / "t"), "any", rules, cluster_by=["x"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+    got = {(r["rule"], r["target"]): (r["failures"], r["nulls"]) for r in found.collect()}
+    keys = [i % 990 if i % 100 else None for i in range(1000)]
+    twice = len({k for k in keys if k is not None and keys.count(k) > 1})
+    assert got == {("unique", "k"): (twice, 0), ("not_null", "k"): (10, 10), ("expr", "x >= 0"): (3, 0),
+                   ("unique_combo", "k,x"): (0, 0), ("unique_combo", "k"): (twice + 1, 0)}
+    assert len(failing(found).collect()) == 4 and jobs.getJobIdsForGroup("checked")
+    spark.sparkContext.setJobGroup("", "")
+    same = {(r[0], r[1]): (r[2], r[3]) for r in report(df, rules).collect()}
+    assert same == got
+
+
+def test_comments_are_stored_with_products(spark, tmp_path):
+    df = schemas.with_comments(spark.createDataFrame([("p", 1.0)], "individual_id string, tot_spend_3mo double"))
+    write_table(df, str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).schema
+    assert stored["individual_id"].metadata["comment"] == "Person"
+    assert "3 months" in stored["tot_spend_3mo"].metadata["comment"]
+    assert all(f.metadata["comment"] for f in schemas.spine_schema().fields)
+
+
 def test_load_report(spark, drop):
     (drop / "c.tsv.gz").write_bytes(__import__("gzip").compress(b""))
     got = {r["file"].split("/")[-1]: r for r in load_report(
@@ -136,7 +193,7 @@ def test_row_counts_and_spread(spark):
 
 # --- configuration and validation --------------------------------------------------------------
 CONFIG = {"defaults": {"date_start": "2025-09-01", "date_end": "2025-10-01"},
-          "audiences": [{"audience_id": "a1", "name": "One", "brand_keywords": ["ROSS"]},
+          "audiences": [{"audience_id": "a1", "name": "One", "brand_keywords": ["QUILLMART"]},
                         {"audience_id": "a2", "name": "Two", "brand_keywords": ["x", "y"],
                          "date_start": "2025-08-01"}]}
 
@@ -148,7 +205,7 @@ def test_config_files(spark, tmp_path):
     (tmp_path / "empty.json").write_text('{"audiences": []}')
     for name in ("c.json", "c.yml"):
         one, two = audiences_from(load_audiences(spark, str(tmp_path / name)))
-        assert one == Audience("a1", "One", ("ROSS",), date(2025, 9, 1), date(2025, 10, 1))
+        assert one == Audience("a1", "One", ("QUILLMART",), date(2025, 9, 1), date(2025, 10, 1))
         assert two.date_start == date(2025, 8, 1)
     with pytest.raises(ValueError, match="no audiences"):
         load_audiences(spark, str(tmp_path / "empty.json"))
@@ -158,12 +215,12 @@ def test_config_files(spark, tmp_path):
         audience_config(spark, CONFIG["defaults"], [{"audience_id": "a", "name": "n"}])
 
 
-def test_validation_in_chunks_and_with_repeated_ids(spark):
+def test_validation_with_repeated_ids(spark):
     fact = spark.createDataFrame(
-        [("p1", "t1", date(2025, 9, 2), 10.0, "ROSS", None, None),
+        [("p1", "t1", date(2025, 9, 2), 10.0, "QUILLMART", None, None),
          ("p1", "t2", date(2025, 9, 3), 20.0, "X", None, None),
          ("p2", "t3", date(2025, 8, 3), 5.0, "X", None, None),
-         (None, "t4", date(2025, 9, 3), 7.0, "ROSS", None, None)],
+         (None, "t4", date(2025, 9, 3), 7.0, "QUILLMART", None, None)],
         "individual_id string, txid string, trans_date date, trans_amount double, "
         "brand_name string, store_name string, merchant_description string")
     lookup = spark.createDataFrame([("p1", "a1", 2), ("p1", "a1", 2), ("p9", "a1", 2),
@@ -171,10 +228,9 @@ def test_validation_in_chunks_and_with_repeated_ids(spark):
                                    "individual_id string, audience_id string, ver int")
     meta = spark.createDataFrame([("a1", 1), ("a1", 2), ("a2", 1)], "audience_id string, ver int")
     audiences = audiences_from(audience_config(spark, CONFIG["defaults"], CONFIG["audiences"]))
-    audiences.append(Audience("a3", "Nobody", ("ROSS",), date(2025, 9, 1), date(2025, 10, 1)))
+    audiences.append(Audience("a3", "Nobody", ("QUILLMART",), date(2025, 9, 1), date(2025, 10, 1)))
     whole = rows(validate_audiences(spark, audiences, lookup, meta, fact))
-    assert rows(validate_audiences(spark, audiences, lookup, meta, fact, measures_per_pass=1)) == whole
-    bad = [Audience("b1", "No date", ("ROSS",), None, date(2025, 10, 1)),
+    bad = [Audience("b1", "No date", ("QUILLMART",), None, date(2025, 10, 1)),
            Audience("b2", "No words", (), date(2025, 9, 1), date(2025, 10, 1))]
     mixed = validate_audiences(spark, [bad[0], *audiences, bad[1]], lookup, meta, fact)
     assert rows(mixed.where("error is null")) == whole
@@ -192,6 +248,41 @@ def test_validation_in_chunks_and_with_repeated_ids(spark):
         validate_audiences(spark, [], lookup, meta, fact)
 
 
+def test_names_are_matched_like_text_by_text(spark):
+    from cohortry.plans.validation import name_hits
+    names = ["QUILLMART 12", "THE QUILL", "Q", "", "ABABAB", "X%Y_Z", "\u00c9T\u00c9 \U0001f600", "BABA", "12"]
+    sets = [(0, ["QUILL"]), (1, ["Q"]), (2, ["AB", "BA"]), (3, ["%", "ZZZ"]), (4, ["\u00c9T\u00c9 \U0001f600"]), (5, [""]), (6, ["BABABA", "1"]),
+            (7, ["NOTHING HERE", "LL 12"])]
+    got = rows(name_hits(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(
+        [(i, k) for i, ks in sets for k in ks], "set_no int, keyword string")))
+    assert got == sorted(((n, i) for n in names for i, ks in sets if any(k in n for k in ks)), key=repr)
+
+
+def test_many_audiences_in_one_plan(spark):
+    """A thousand audiences of five keywords: the plan does not grow with them."""
+    fact = spark.range(2000).select(
+        (F.col("id") % 50).cast("string").alias("individual_id"), F.col("id").cast("string").alias("txid"),
+        F.date_add(F.lit("2025-09-01").cast("date"), (F.col("id") % 60).cast("int")).alias("trans_date"),
+        (F.col("id") % 9).cast("double").alias("trans_amount"), F.concat(F.lit("brand "), F.col("id") % 300).alias("brand_name"),
+        F.lit(None).cast("string").alias("store_name"), F.lit("shop").alias("merchant_description"))
+    lookup = spark.range(50).select(F.col("id").cast("string").alias("individual_id"), F.concat(F.lit("a"), "id").alias("audience_id"),
+                                    F.lit(1).alias("ver"))
+    meta = lookup.select("audience_id", "ver").distinct()
+    many = [Audience(f"a{i}", f"n{i}", (f"Brand {i}", f"BRAND 1{i}", "nowhere", "none", "brandx"), date(2025, 9, 1 + i % 20), date(2025, 10, 1))
+            for i in range(1000)]
+    got = {r["audience_id"]: r for r in validate_audiences(spark, many, lookup, meta, fact).collect()}
+    assert len(got) == 1000
+    facts = fact.collect()
+    for i in (0, 3, 29, 200, 999):
+        inside = [f for f in facts if many[i].date_start <= f.trans_date < many[i].date_end]
+        hits = [f for f in inside if f"brand {i}" in f.brand_name or f"brand 1{i}" in f.brand_name]
+        assert got[f"a{i}"]["baseline_active_ids"] == len({f.individual_id for f in inside})
+        assert got[f"a{i}"]["baseline_brand_shoppers"] == len({f.individual_id for f in hits})
+        mine = [f for f in hits if f.individual_id == str(i)]
+        assert got[f"a{i}"]["brand_transactions"] == len(mine) and got[f"a{i}"]["total_lal_ids"] == (i < 50)
+        assert got[f"a{i}"]["brand_spend"] == sum(f.trans_amount for f in mine)
+
+
 def test_quality_report_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", -1), (None, None), (None, 5)], "k string, x int")
     got = {(r[0], r[1]): (r[2], r[3]) for r in report(df, [
@@ -247,14 +338,14 @@ def test_month_folders_are_pruned(spark, tmp_path):
     from cohortry.plans.validation import person_measures
     assert [month_text(date(2025, 3, 31), n) for n in (0, 3, 12)] == ["2025-03", "2024-12", "2024-03"]
     fact = spark.createDataFrame(
-        [("p", f"t{y}{m}", date(y, m, 15), 1.0, "ROSS", None, None, "ONLINE")
+        [("p", f"t{y}{m}", date(y, m, 15), 1.0, "QUILLMART", None, None, "ONLINE")
          for y in (2023, 2024, 2025) for m in range(1, 13)],
         "individual_id string, txid string, trans_date date, trans_amount double, brand_name string,"
         " store_name string, merchant_description string, transaction_channel string")
     with_month(fact, "trans_date").write.partitionBy("trans_month").parquet(str(tmp_path / "f"))
     stored = spark.read.parquet(str(tmp_path / "f"))
     ref = date(2025, 3, 31)
-    for make in (lambda f: rfm_features(f, ref), lambda f: seed_ids(f, ["ross"], ref, 6, 2),
-                 lambda f: person_measures(f, [(date(2025, 2, 1), date(2025, 3, 1), ("ROSS",))])[0]):
+    for make in (lambda f: rfm_features(f, ref), lambda f: seed_ids(f, ["quillmart"], ref, 6, 2),
+                 lambda f: person_measures(f, [(date(2025, 2, 1), date(2025, 3, 1), ("QUILLMART",))])[0]):
         assert rows(make(stored)) == rows(make(fact))
         assert "trans_month" in plan(make(stored)).split("PartitionFilters: [")[1].split("]")[0]

@@ -6,8 +6,8 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from cohortry import schemas
-from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, upsert_stream,
-                                write_stream)
+from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, load_history, load_stream, loaded_rows,
+                                rejected_rows, upsert_stream, write_stream)
 
 SCHEMA = schemas.struct([("id", "string"), ("ts", "timestamp"), ("v", "double")])
 
@@ -57,6 +57,23 @@ def test_daily_totals_accept_late_rows_within_the_delay(spark, tmp_path):
                          (date(2025, 1, 9), "a", 1, 5.0)]
 
 
+def test_load_keeps_rejects_and_history(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    schema = schemas.struct([("id", "string"), ("n", "int")])
+    (tmp_path / "src").mkdir()
+    for k, text in enumerate(["a\t1\nb\tx\n", "c\t3\n\nd\n", "e\t5\n", "f\tno\n"]):
+        (tmp_path / "src" / f"f{k}.tsv").write_text(text)
+        if k % 2:
+            for _ in range(2):  # a run that finds nothing new changes nothing
+                run(load_stream(spark, src, schema, out, ckpt, glob="*.tsv", max_files=1))
+    assert rows(loaded_rows(spark, out, schema)) == [("a", 1), ("c", 3), ("e", 5)]
+    bad = rejected_rows(spark, out).collect()
+    assert sorted((r["_file"][-6:], r["record"]) for r in bad) == [("f0.tsv", "b\tx"), ("f1.tsv", "d"), ("f3.tsv", "f\tno")]
+    history = {r["file"][-6:]: (r["row_count"], r["error_count"], r["status"]) for r in load_history(spark, out).collect()}
+    assert history == {"f0.tsv": (1, 1, "PARTIALLY_LOADED"), "f1.tsv": (1, 1, "PARTIALLY_LOADED"), "f2.tsv": (1, 0, "LOADED"),
+                       "f3.tsv": (0, 1, "LOAD_FAILED")}
+
+
 def test_upsert_over_batches(spark, tmp_path):
     src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
     for data in ([("a", datetime(2025, 1, 1), 1.0), ("b", datetime(2025, 1, 1), 2.0)],
