@@ -10,7 +10,7 @@ from .joins import (active_ids, label_membership, latest_version, left_enrich, m
 from .materialise import materialise, scratch_path, shared_dir
 from .months import MONTH, month_text, prune_months, with_month
 from .quality import Check, expr_true, not_null, report, unique, unique_combo
-from .sets import cohort_except, cohort_intersect, cohort_union
+from .sets import cohort_bitmaps, cohort_except, cohort_intersect, cohort_overlap, cohort_union
 from .skew import GROUP_ROWS, large_groups
 from .stats import category_importance, category_shares, numeric_profile
 from .topn import cluster, score_cut, top_n, with_rank

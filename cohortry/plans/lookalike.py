@@ -16,6 +16,8 @@ from cohortry.operators import (category_importance, category_shares, materialis
 log = logging.getLogger(__name__)
 IMPORTANCE_FLOOR = 0.1
 BANDWIDTH_FLOOR = 0.5
+#: fields whose values come from a fixed table of codes
+CODE_LISTS = frozenset(out for out, *_ in codes.DECODED_FIELDS)
 
 
 def population_features(attrs: DataFrame, rfm: DataFrame, seed: DataFrame,
@@ -62,12 +64,15 @@ def numeric_score(weights: dict[str, tuple[float, float, float]]) -> Column:
 
 
 def categorical_score(pop: DataFrame, shares: DataFrame, categorical: Sequence[str],
-                      joined: Sequence[str] = ()):
+                      joined: Sequence[str] | None = None):
     """(population with any columns needed, score): seed share of the value times importance.
 
-    Fields of a code list become literal maps, so no join is needed.  Fields named in ``joined``, whose
-    values are not such a list (a city, an id), are looked up by a join instead; the result is the same.
+    Fields decoded from a code list become literal maps, so no join is needed.  Fields named in ``joined``, by
+    default all others (a city, an id), may have any number of values and are looked up by a join instead; the
+    result is the same.
     """
+    if joined is None:
+        joined = [c for c in categorical if c not in CODE_LISTS]
     weighted = shares.where(F.col("seed_share").isNotNull()) \
         .join(F.broadcast(category_importance(shares, IMPORTANCE_FLOOR)), "field") \
         .select("field", "value", (F.col("seed_share") * F.col("importance")).alias("points"))
@@ -89,7 +94,7 @@ def categorical_score(pop: DataFrame, shares: DataFrame, categorical: Sequence[s
 def score_population(pop: DataFrame, numeric: Sequence[str] = tuple(codes.NUMERIC_FIELDS),
                      categorical: Sequence[str] = tuple(codes.CATEGORICAL_FIELDS),
                      id_col: str = "individual_id", store: bool = True,
-                     joined: Sequence[str] = ()) -> DataFrame:
+                     joined: Sequence[str] | None = None) -> DataFrame:
     """Similarity scores of the whole population; no rows when the seed is empty.
 
     The statistics are two small aggregates whose results become literals, so scoring itself is a

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions import codes, keyword_match, month_filter
@@ -88,27 +88,35 @@ class SeedChoice:
     in_target: bool
 
 
+def choose_seed(grid: DataFrame, target: tuple[int, int]) -> DataFrame:
+    """The row of ``grid`` that :func:`tune_seed` chooses, with ``in_target``, found in the plan.
+
+    The settings on the way from loose to tight are numbered; the walk ends at the first that is not above the
+    range, and goes one back if that is below it.
+    """
+    low, high = target
+    whole = Window.partitionBy()  # a grid has a few dozen rows
+    loosest, tightest = F.max("lookback_months").over(whole), F.max("min_transactions").over(whole)
+    screen = F.max("max_recency").over(whole)
+    marked = grid.select("*", loosest.alias("_m"), tightest.alias("_k"), screen.alias("_r"))
+    screened = (F.col("min_transactions") == F.col("_k")) & F.col("max_recency").eqNullSafe(F.col("_r"))
+    on_way = (((F.col("lookback_months") == F.col("_m")) & F.col("max_recency").isNull()) | screened)
+    order = Window.orderBy(F.desc("lookback_months"), F.col("max_recency").asc_nulls_first(), "min_transactions")
+    steps = marked.where(on_way).withColumn("_step", F.row_number().over(order))
+    stop = F.min(F.when(F.col("seed_size") <= high, F.col("_step"))).over(whole)
+    last = F.max("_step").over(whole)
+    steps = steps.withColumn("_stop", F.coalesce(stop, last))
+    size = F.max(F.when(F.col("_step") == F.col("_stop"), F.col("seed_size"))).over(whole)
+    chosen = F.greatest(F.lit(1), F.when(size < low, F.col("_stop") - 1).otherwise(F.col("_stop")))
+    return steps.withColumn("_chosen", chosen).where("_step = _chosen").select(
+        "lookback_months", "min_transactions", "max_recency", "seed_size",
+        F.col("seed_size").between(low, high).alias("in_target"))
+
+
 def tune_seed(grid: DataFrame, target: tuple[int, int]) -> SeedChoice:
     """First setting, from loose to tight, whose size is in the target range.
 
     Tightening raises the minimum, then adds the recency screen, then shortens the look-back.  If no
     setting fits, the one just above the range is kept, or the loosest when all are below.
     """
-    cells = {(r["lookback_months"], r["min_transactions"], r["max_recency"]): r["seed_size"]
-             for r in grid.collect()}
-    months = sorted({k[0] for k in cells}, reverse=True)
-    minimums = sorted({k[1] for k in cells})
-    screen = next((k[2] for k in cells if k[2] is not None), None)
-    path = [(months[0], k, None) for k in minimums]
-    if screen is not None:
-        path.append((months[0], minimums[-1], screen))
-    path += [(m, minimums[-1], screen) for m in months[1:]]
-    low, high = target
-    chosen = path[0]
-    for step in path:
-        if cells[step] < low:
-            break
-        chosen = step
-        if cells[step] <= high:
-            break
-    return SeedChoice(*chosen, cells[chosen], low <= cells[chosen] <= high)
+    return SeedChoice(**choose_seed(grid, target).first().asDict())

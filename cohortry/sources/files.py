@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -154,6 +154,32 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
     return files.where(F.col("path").rlike(pattern)) if pattern else files
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which counts and extremes of Parquet files come from their footers:
+    no column is read."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """:func:`row_counts` of stored Parquet tables, from the files' footers alone."""
+    own = footer_session(spark)
+    return row_counts({name: own.read.parquet(path) for name, path in paths.items()})
+
+
+def footer_extremes(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """One row: ``row_count`` and for each column ``<column>_min`` and ``<column>_max``, from the footers alone.
+
+    For numbers and dates of an unpartitioned table; text, whose extremes footers may shorten, and partition
+    columns are read by Spark in the usual way.
+    """
+    stored = footer_session(spark).read.parquet(path)
+    return stored.agg(F.count(F.lit(1)).alias("row_count"), *[
+        f(c).alias(f"{c}_{name}") for c in columns for name, f in (("min", F.min), ("max", F.max))])
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name and number of rows."""
     return reduce(DataFrame.unionAll, [

@@ -786,3 +786,31 @@ def _dq_products() -> str:
 ORACLES["dq_products"] = _dq_products()
 ORACLES["documented_table"] = "SELECT * FROM (VALUES " + ", ".join(
     "('{}', '{}')".format(c, comment_of(c).replace("'", "''")) for c in ATTR_COLUMNS) + ") t(col_name, comment)"
+
+ORACLES["row_counts_footers"] = ORACLES["row_counts"]
+ORACLES["key_extremes"] = ("SELECT count(*) AS row_count, min(o_orderkey) AS o_orderkey_min, max(o_orderkey) AS o_orderkey_max, "
+                           "min(o_custkey) AS o_custkey_min, max(o_custkey) AS o_custkey_max FROM orders")
+ORACLES["cohort_overlap"] = f"""WITH {FACT}, lookup AS ({A.LOOKUP}),
+members AS (SELECT DISTINCT individual_id, audience_id || ' ' || CAST(ver AS VARCHAR) AS cohort FROM lookup
+ UNION SELECT individual_id, 'summer' FROM ({seed(months=3, minimum=1, ref="DATE '2001-07-31'")})
+ UNION SELECT individual_id, 'spring' FROM ({seed(months=3, minimum=1, ref="DATE '2001-04-30'")})),
+sizes AS (SELECT cohort, count(*) AS n FROM members GROUP BY cohort)
+SELECT a.cohort, b.cohort AS other, a.n AS ids, b.n AS other_ids, count(y.individual_id) AS both,
+ ROUND(CAST(count(y.individual_id) AS DOUBLE) / least(a.n, b.n), 6) AS share
+FROM sizes a JOIN sizes b ON a.cohort < b.cohort JOIN members x ON x.cohort = a.cohort
+LEFT JOIN members y ON y.cohort = b.cohort AND y.individual_id = x.individual_id GROUP BY a.cohort, b.cohort, a.n, b.n"""
+
+
+def _tuned(name: str, low: int, high: int) -> str:
+    """The walk of settings as one ordered list, and the step it ends on."""
+    return f"""(SELECT '{name}' AS target, lookback_months, min_transactions, max_recency, seed_size,
+ seed_size BETWEEN {low} AND {high} AS in_target FROM way, (SELECT COALESCE(min(step) FILTER (seed_size <= {high}), max(step)) AS stop,
+ max(step) AS last FROM way) s WHERE step = greatest(1, stop - CASE WHEN (SELECT seed_size FROM way WHERE step = stop) < {low}
+ THEN 1 ELSE 0 END))"""
+
+
+ORACLES["tuned_seed"] = (
+    f"WITH grid AS ({seed_grid()}), way AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN max_recency IS NULL THEN 1 ELSE 2 END, "
+    "lookback_months DESC, min_transactions) AS step FROM grid WHERE (max_recency IS NULL AND lookback_months = 12) "
+    "OR (max_recency IS NOT NULL AND min_transactions = 3)) "
+    + " UNION ALL ".join(_tuned(*t) for t in (("hit", 20, 60), ("too_many", 0, 1), ("too_few", 10**8, 10**9))))

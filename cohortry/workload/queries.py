@@ -18,18 +18,18 @@ from cohortry import schemas
 from cohortry.functions import (codes, in_range, keyword_match, likely, map_text, month_filter,
                                 normalise, split_list, tag_array)
 from cohortry.operators import (active_ids, category_importance, category_shares, cohort_except,
-                                cohort_intersect, cohort_union, count_distinct_ids,
+                                cohort_intersect, cohort_overlap, cohort_union, count_distinct_ids,
                                 distinct_rows, expr_true,
                                 label_membership, latest_version, materialise, not_null,
                                 numeric_profile, ref_date, report, scratch_path, since_high_water,
                                 summarise, top_n, unique, unique_combo, upsert, window_diversity, with_month)
-from cohortry.plans import (audiences_from, build_fact, check_products, daily_summary, daily_summary_stream,
+from cohortry.plans import (audiences_from, build_fact, check_products, choose_seed, daily_summary, daily_summary_stream,
                             enrich_transactions, household_rollup,
                             lookalike_scores, media_long, media_rollup, person_attributes,
                             person_rollup, population_features, preset, reach_curve, rfm_features,
                             rfm_segments, run_delta, score_population, seed_grid, seed_ids,
                             validate_audiences, write_fact)
-from cohortry.sources import (list_files, load, load_report, merge_defaults, read_delimited, read_lines,
+from cohortry.sources import (footer_counts, footer_extremes, list_files, load, load_report, merge_defaults, read_delimited, read_lines,
                               read_parquet_by_name, read_tolerant, row_counts, save_table, write_csv)
 from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, load_history, load_stream, loaded_rows,
                                 rejected_rows, upsert_stream, write_stream)
@@ -240,6 +240,15 @@ def q_row_counts(d):
     return row_counts({t.upper(): d.table(t) for t in [*A.TABLES, *A.TEXT_TABLES]})
 
 
+def row_counts_footers(d):
+    return footer_counts(d.spark, {t.upper(): f"{d.dir}/{t}.parquet" for t in [*A.TABLES, *A.TEXT_TABLES]})
+
+
+def key_extremes(d):
+    """First and last keys of the orders, from the footers."""
+    return footer_extremes(d.spark, f"{d.dir}/orders.parquet", ["o_orderkey", "o_custkey"])
+
+
 def audience_config(d):
     return _audiences(d)
 
@@ -524,6 +533,14 @@ def q_seed_grid(d):
                      max_recency=60)
 
 
+def tuned_seed(d):
+    """The grid's setting for a range that some size meets, one all are above, and one all are below."""
+    grid = materialise(q_seed_grid(d))
+    targets = {"hit": (20, 60), "too_many": (0, 1), "too_few": (10**8, 10**9)}
+    parts = [choose_seed(grid, t).select(F.lit(n).alias("target"), "*") for n, t in targets.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def pop_features(d):
     return _population(d)
 
@@ -634,6 +651,15 @@ def q_cohort_except(d):
     return cohort_except(*_cohorts(d))
 
 
+def q_cohort_overlap(d):
+    """Every two of the audiences of both versions and two seeds."""
+    summer, spring = _cohorts(d)
+    members = d.lookup.select(ID, F.concat_ws(" ", "audience_id", "ver").alias("cohort"))
+    for name, ids in (("summer", summer), ("spring", spring)):
+        members = members.unionByName(ids.select(ID, F.lit(name).alias("cohort")))
+    return cohort_overlap(members)
+
+
 # --- data quality ------------------------------------------------------------------------------
 def dq_unique(d):
     return unique(_fact(d), "txid")
@@ -811,6 +837,8 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "dq_expression": dq_expression, "dq_report": dq_report,
     "stream_ingest": stream_ingest, "stream_daily": stream_daily, "stream_upsert": stream_upsert,
     "stream_enrich": stream_enrich,
+    "row_counts_footers": row_counts_footers, "key_extremes": key_extremes, "tuned_seed": tuned_seed,
+    "cohort_overlap": q_cohort_overlap,
     "load_report_files": load_report_files, "list_segments": list_segments, "load_stamped": load_stamped,
     "load_columns": load_columns, "csv_export": csv_export, "saved_audience": saved_audience,
     "documented_table": documented_table, "clustered_fact": clustered_fact, "merged_drop": merged_drop,

@@ -101,6 +101,31 @@ def test_rules_are_counted_while_writing(spark, tmp_path):
     assert same == got
 
 
+def test_counts_and_extremes_come_from_footers(spark, tmp_path):
+    from cohortry.sources import footer_counts, footer_extremes
+    df = spark.range(1000).select("id", F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"),
+                                  F.lit("text").alias("t"))
+    df.repartition(5).write.parquet(str(tmp_path / "t"))
+    got = footer_extremes(spark, str(tmp_path / "t"), ["id", "d"])
+    assert tuple(got.first()) == (1000, 0, 999, date(2025, 1, 1), date(2025, 2, 19))
+    counts = footer_counts(spark, {"T": str(tmp_path / "t")})
+    assert rows(counts) == [("T", 1000)]
+    for df in (got, counts):
+        said = plan(df)
+        assert "PushedAggregation: [COUNT(*)" in said and "PushedAggregation: []" not in said
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_overlap_of_cohorts_by_hand(spark):
+    from cohortry.operators import cohort_overlap
+    sets = {"a": range(0, 5000, 2), "b": range(0, 5000, 3), "c": [7], "d": [8], "e": range(4990, 5010)}
+    members = [(c, f"p{i}") for c, ids in sets.items() for i in ids]
+    df = spark.createDataFrame([*members, *members[:50], ("a", None), (None, "p1")], "cohort string, individual_id string").repartition(7)
+    got = {(r["cohort"], r["other"]): (r["ids"], r["other_ids"], r["both"]) for r in cohort_overlap(df).collect()}
+    assert got == {(a, b): (len(set(sets[a])), len(set(sets[b])), len(set(sets[a]) & set(sets[b])))
+                   for a in sets for b in sets if a < b}
+
+
 def test_comments_are_stored_with_products(spark, tmp_path):
     df = schemas.with_comments(spark.createDataFrame([("p", 1.0)], "individual_id string, tot_spend_3mo double"))
     write_table(df, str(tmp_path / "t"))
