@@ -6,8 +6,10 @@ target bytes.  A node that owes an odd number of leaves is cut at the matching w
 
 Medians are found for all nodes of a level at once: a histogram of bytes over the node's interval, then
 one over the bin that holds the median, until that bin weighs next to nothing.  Where one value of the
-dimension holds more, its rows are cut by a hash of text and row, so equal texts with equal metadata stay
-together unless a cut falls among them.  The driver holds one row per node, at most as many as leaves.
+dimension holds more, its rows are cut by a hash of the text, between two texts.  Rows of equal text share one
+point, with the least language and source among them, so they come into one shard; only if they weigh more than
+GROUP_SHARE of a shard and a cut falls among them are they cut too, by a hash of the row.  The driver holds one
+row per node, at most as many as leaves.
 """
 
 from __future__ import annotations
@@ -19,9 +21,14 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import materialise
 
+from .common import lookup_join
+
 DIMS = ["lang", "source", "bytes"]
 BINS = 1024
-TIE_BITS = 62
+#: The tie: 31 bits of the text's hash, then 31 of the row's.
+TIE_BITS, ROW_BITS = 62, 31
+GROUP_SHARE = 0.05
+BROADCAST_ROWS = 1_000_000
 SLICES = 64
 LEVELS_STORED = 6
 
@@ -42,18 +49,30 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
 
-def with_point(docs: DataFrame, skips: dict[str, int]) -> DataFrame:
-    """``docs`` with ``_pt``: weight, a whole number per dimension, and the tie."""
+def measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_size``, two hashes of the text, ``_k1`` and ``_k2``, and one of the row, ``_kr``; NULL text
+    counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    row = F.xxhash64("doc_id", text, "lang", "source")
-    tie = F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 33), 31).bitwiseOR(
-        F.shiftrightunsigned(row, 33))
-    return docs.withColumn("_pt", F.struct(
-        size_of(F.col("text")).alias("size"),
-        _text_code(F.col("lang"), skips["lang"]).alias("lang"),
-        _text_code(F.col("source"), skips["source"]).alias("source"),
-        F.floor(F.log2(size_of(F.col("text"))) * 2 ** 30).cast("long").alias("bytes"),
-        tie.alias("tie")))
+    return docs.select("*", size_of(F.col("text")).alias("_size"), F.xxhash64(text).alias("_k1"),
+                       F.xxhash64(F.lit(2), text).alias("_k2"), F.xxhash64("doc_id", text, "lang", "source").alias("_kr"))
+
+
+def with_point(rows: DataFrame, skips: dict[str, int]) -> DataFrame:
+    """Measured rows with ``_pt``: weight, a whole number per dimension, and the tie.
+
+    The least language and source (NULL first) of a text that stands more than once are looked up.
+    """
+    several = materialise(rows.groupBy("_k1", "_k2").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("lang", "source")).alias("_least")).where("_n > 1").drop("_n"))
+    joined = lookup_join(rows, several, ["_k1", "_k2"], BROADCAST_ROWS)
+    own = F.coalesce("_least", F.struct("lang", "source"))
+    tie = F.shiftleft(F.shiftrightunsigned("_k1", 33), ROW_BITS).bitwiseOR(F.shiftrightunsigned("_kr", 33))
+    return joined.withColumn("_pt", F.struct(
+        F.col("_size").alias("size"),
+        _text_code(own["lang"], skips["lang"]).alias("lang"),
+        _text_code(own["source"], skips["source"]).alias("source"),
+        F.floor(F.log2("_size") * 2 ** 30).cast("long").alias("bytes"),
+        tie.alias("tie"))).drop("_size", "_k1", "_k2", "_kr", "_least")
 
 
 def shared_prefixes(docs: DataFrame) -> dict[str, int]:
@@ -82,12 +101,18 @@ def descend(points: DataFrame, cuts: list[dict]) -> DataFrame:
         2 * F.col("_node") + F.when(left, 0).otherwise(1))).drop("_cn", "_cd", "_cv", "_ct")
 
 
-def _cut_level(points: DataFrame, open_nodes: list[dict], tolerance: float) -> None:
+def _text_start(tie: int) -> int:
+    return tie >> ROW_BITS << ROW_BITS
+
+
+def _cut_level(points: DataFrame, open_nodes: list[dict], tolerance: float, group_tolerance: float) -> None:
     """Sets ``value`` and ``tie`` of every open node: rows before them hold its target bytes."""
     spark = points.sparkSession
     todo = list(open_nodes)
     while todo:
         step = [-(-(n["hi"] - n["lo"]) // BINS) for n in todo]
+        # bins of whole texts, unless one text is cut
+        step = [s if n["value"] is None or n.get("rows") else -(-s >> ROW_BITS) << ROW_BITS for n, s in zip(todo, step)]
         table = spark.createDataFrame(
             [(n["node"], n["dim"], n["value"], n["lo"], n["hi"], s, float(n["need"]))
              for n, s in zip(todo, step)],
@@ -111,6 +136,16 @@ def _cut_level(points: DataFrame, open_nodes: list[dict], tolerance: float) -> N
                 n["value"], n["tie"] = (n["hi"], 0) if n["value"] is None else (n["value"], n["hi"])
                 continue
             before, single = r["upto"] - r["w"], r["lo"] == r["hi"]
+            if n["value"] is not None and not n.get("rows"):
+                start, end = _text_start(r["lo"]), _text_start(r["hi"]) + (1 << ROW_BITS)
+                one = end - start == 1 << ROW_BITS
+                if r["w"] <= (group_tolerance if one else tolerance):
+                    n["tie"] = start if n["need"] - before <= r["upto"] - n["need"] else end
+                    continue
+                n["need"] -= before
+                n["rows"], n["lo"], n["hi"] = one, start, end
+                rest.append(n)
+                continue
             if r["w"] <= tolerance or (single and n["value"] is not None):
                 near = r["lo"] if n["need"] - before <= r["upto"] - n["need"] else r["hi"] + 1
                 n["value"], n["tie"] = (near, 0) if n["value"] is None else (n["value"], near)
@@ -138,7 +173,7 @@ def grow(points: DataFrame, leaves: int | None, target_bytes: int | None,
         return [], {1: 0}
     root = seen[1]
     leaves = leaves or max(1, math.ceil(root["w"] / target_bytes))
-    owed, done, slack = {1: leaves}, {}, tolerance * root["w"] / leaves
+    owed, done, leaf = {1: leaves}, {}, root["w"] / leaves
     while owed:
         cuts = []
         for node, m in list(owed.items()):
@@ -153,7 +188,7 @@ def grow(points: DataFrame, leaves: int | None, target_bytes: int | None,
                          "hi": r[f"hi_{DIMS[dim]}"] + 1, "need": r["w"] * (m // 2) / m})
         if not cuts:
             break
-        _cut_level(points, cuts, slack)
+        _cut_level(points, cuts, tolerance * leaf, GROUP_SHARE * leaf)
         points = descend(points, cuts)
         levels.append(cuts)
         if len(levels) % LEVELS_STORED == 0:
@@ -198,20 +233,22 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     """``row`` (a struct of all columns), ``doc_id``, ``_pt`` (weight and coordinates) and ``_shard``, 0
     upward; give the number of shards or the bytes of one.
 
-    NULL metadata sorts first, NULL text weighs its row alone.  Rows equal in id, text, language and
-    source stay together; an empty table gives no rows.  Further columns, of any name, stay in ``row``.
+    NULL metadata sorts first, NULL text weighs its row alone.  Rows of equal text stay together up to
+    GROUP_SHARE of a shard, rows equal in id, text, language and source at any size; an empty table gives no
+    rows.  Further columns, of any name, stay in ``row``.
     The tree is grown on stored coordinates, without the texts, and then applied to ``docs`` row by row.
     """
-    pointed = with_point(docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang", "source"),
-                         shared_prefixes(docs)).drop("text", "lang", "source")
+    rows = measured(docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang", "source")).drop("text")
+    pointed = with_point(rows, shared_prefixes(docs)).drop("lang", "source")
     levels, first = grow(materialise(pointed.select("_pt")), shards, target_bytes)
     return place(pointed, levels, first)
 
 
 def op1(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Shard and slot per document, in the columns of the contract; the law is ``bytes``."""
-    pointed = materialise(with_point(docs, shared_prefixes(docs)).select(
-        "doc_id", "_pt", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")))
+    rows = materialise(measured(docs.select("doc_id", "text", "lang", "source")).withColumn(
+        "text_crc32", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))).drop("text"))
+    pointed = materialise(with_point(rows, shared_prefixes(docs)).select("doc_id", "_pt", "text_crc32"))
     numbered = with_slots(place(pointed, *grow(pointed, shards, None)))
     return numbered.select("doc_id", F.col("_pt.size").alias("size"), "text_crc32",
                            F.lit("bytes").alias("law"), F.col("_shard").alias("shard"),

@@ -310,6 +310,27 @@ def test_leaks_with_edits(spark):
     assert {r.doc_id for r in decontamination.stage(docs, bench).collect()} == {3, 4, 5, 6}
 
 
+def test_equal_texts_come_into_one_shard(spark):
+    """Copies differ in language and source; a group of a third of all bytes is cut, others are not."""
+    rng = np.random.default_rng(2)
+    texts = [f"text {k} " + "x" * int(rng.integers(1, 400)) for k in range(3000)]
+    rows = [(i, texts[int(rng.integers(0, 3000)) if i % 3 else 0], f"l{i % 4}", f"s{i % 17}") for i in range(9000)]
+    rows += [(9000 + i, "same length %05d" % i, "l1", "s1") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    at, sizes = collections.defaultdict(set), collections.Counter()
+    got = sharding.op1(df).collect()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        at[r["doc_id"]] = r["shard"]
+    shards = collections.defaultdict(set)
+    for i, text, *_ in rows:
+        shards[text].add(at[i])
+    assert len(got) == 13_000 and {len(v) for k, v in shards.items() if k != texts[0]} == {1}
+    assert len(shards[texts[0]]) > 1
+    mean = sum(sizes.values()) / 24
+    assert len(sizes) == 24 and all(abs(v - mean) < 0.15 * mean for v in sizes.values())
+
+
 def test_simhash_by_hand(spark):
     rng = np.random.default_rng(5)
     rows = [[int(x) for x in rng.integers(-2**63, 2**63 - 1, n)] for n in (1, 2, 7, 300)]
