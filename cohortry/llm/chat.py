@@ -1,8 +1,8 @@
 """Chat formatting: layouts told apart by a schema fingerprint, one canonical list of turns, a template
 with reversible escapes, and a loss mask.
 
-A record is a VARIANT.  Its fingerprint is the hash of its nested field paths.  ``LAYOUTS`` declares, for
-each known set of paths, how its turns are read; the fingerprint of a record picks the declaration.
+A record is a VARIANT.  Its fingerprint is the hash of its nested field paths, to any depth.  ``LAYOUTS``
+declares, for each known shape, how its turns are read; the fingerprint of a record picks the declaration.
 Records of no known layout are returned with an empty list of turns, never guessed at.
 
 Only DataFrame functions are used.
@@ -17,49 +17,43 @@ START, END = "<|im_start|>", "<|im_end|>"
 
 TURNS = "array<struct<role:string,text:string>>"
 
-#: Paths of a layout, and its turns as SQL over the VARIANT ``record``.
+#: Shape of a layout, and its turns as SQL over the VARIANT ``record``.
 LAYOUTS: dict[str, tuple[str, str]] = {
-    "turn": ("role,text",
+    "turn": ("OBJECT<role, text>",
              "array(named_struct('role', record:role::string, 'text', record:text::string))"),
-    "messages": ("messages[].content,messages[].role",
+    "messages": ("OBJECT<messages: ARRAY<OBJECT<content, role>>>",
                  "transform(record:messages::array<struct<role:string,content:string>>, "
                  "m -> named_struct('role', m.role, 'text', m.content))"),
-    "shared": ("conversations[].from,conversations[].value",
+    "shared": ("OBJECT<conversations: ARRAY<OBJECT<from, value>>>",
                "transform(record:conversations::array<struct<from:string,value:string>>, m -> named_struct("
                "'role', CASE m.from WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE m.from END, "
                "'text', m.value))"),
-    "prompt": ("prompt,response",
+    "prompt": ("OBJECT<prompt, response>",
                "array(named_struct('role', 'user', 'text', record:prompt::string), "
                "named_struct('role', 'assistant', 'text', record:response::string))"),
-    "completion": ("completion,prompt",
+    "completion": ("OBJECT<completion, prompt>",
                    "array(named_struct('role', 'user', 'text', record:prompt::string), "
                    "named_struct('role', 'assistant', 'text', record:completion::string))"),
-    "instruction": ("input,instruction,output",
+    "instruction": ("OBJECT<input, instruction, output>",
                     "array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', record:instruction::string, "
                     "nullif(record:input::string, ''))), "
                     "named_struct('role', 'assistant', 'text', record:output::string))"),
-    "question": ("answer,question",
+    "question": ("OBJECT<answer, question>",
                  "array(named_struct('role', 'user', 'text', record:question::string), "
                  "named_struct('role', 'assistant', 'text', record:answer::string))"),
 }
 
 
-def field_paths(record: Column) -> Column:
-    """Sorted paths of the fields at depth one, and of the fields of objects in an array below them,
-    joined by commas; NULL for what is no object."""
+def shape(record: Column) -> Column:
+    """The names of all fields of a record, nested as they are and sorted at each level, without the types of
+    the values; NULL for what is no object.  Objects in objects, and arrays in arrays, are part of it."""
     schema = F.schema_of_variant(record)
-    # field names of the outer object, each with its array's inner names
-    inner = F.regexp_extract_all(schema, F.lit(r"(\w+): (ARRAY<OBJECT<[^<>]*>>|\w+)"), F.lit(0))
-    paths = F.flatten(F.transform(inner, lambda f: F.when(
-        f.contains("ARRAY<OBJECT<"), F.transform(
-            F.regexp_extract_all(F.substring_index(f, "OBJECT<", -1), F.lit(r"(\w+): "), F.lit(1)),
-            lambda g: F.concat(F.substring_index(f, ":", 1), F.lit("[]."), g))
-    ).otherwise(F.array(F.substring_index(f, ":", 1)))))
-    return F.when(schema.startswith("OBJECT<"), F.array_join(F.array_sort(paths), ","))
+    names = F.regexp_replace(schema, r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9,]+\))?", "")
+    return F.when(schema.startswith("OBJECT<"), F.regexp_replace(names, r"ARRAY<[A-Z]+(\([0-9,]+\))?>", "ARRAY<>"))
 
 
 def fingerprint(record: Column) -> Column:
-    return F.xxhash64(field_paths(record))
+    return F.xxhash64(shape(record))
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
@@ -67,8 +61,8 @@ def canonical_turns(records: DataFrame) -> DataFrame:
     from the VARIANT column ``record``; NULL texts become empty, NULL roles empty too."""
     stamped = records.withColumn("_print", fingerprint(F.col("record")))
     layout, turns = F.lit(None).cast("string"), F.array().cast(TURNS)
-    for name, (paths, read) in LAYOUTS.items():
-        hit = F.col("_print") == F.xxhash64(F.lit(paths))
+    for name, (known, read) in LAYOUTS.items():
+        hit = F.col("_print") == F.xxhash64(F.lit(known))
         layout = F.when(hit, F.lit(name)).otherwise(layout)
         turns = F.when(hit, F.expr(read).cast(TURNS)).otherwise(turns)
     clean = F.transform("turns", lambda t: F.struct(
