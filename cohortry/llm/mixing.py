@@ -169,13 +169,15 @@ targets AS (
 houses AS (
   SELECT *, sum(target) OVER () AS total FROM targets),
 house AS (SELECT *, floor(total / {BLOCK} + 0.5)::BIGINT AS seats FROM houses),
+bounds AS (
+  SELECT *, count(*) FILTER (target > 0) OVER () AS n FROM house),
 sure AS (
-  SELECT *, greatest(floor(CASE WHEN total > 0 THEN target * seats / total ELSE 0 END) - 2, 0)::BIGINT
-         AS sure FROM house),
+  SELECT *, greatest(floor(CASE WHEN total > 0 THEN target * (seats - n / 2) / total ELSE 0 END + 0.5)::BIGINT - 1, 0) AS sure,
+         floor(CASE WHEN total > 0 THEN target * (seats + n / 2) / total ELSE 0 END + 0.5)::BIGINT + 1 AS most FROM bounds),
+open AS (SELECT *, seats - sum(sure) OVER () AS open FROM sure),
 ranked AS (
-  SELECT *, row_number() OVER (ORDER BY target / (2 * (sure + k) + 1) DESC, source ASC NULLS LAST) AS rank,
-         seats - sum(sure) OVER () / 5 AS open
-  FROM sure, unnest(generate_series(0, 4)) AS s(k)),
+  SELECT *, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source ASC NULLS LAST) AS rank
+  FROM open, unnest(generate_series(sure, most)) AS s(k)),
 plan AS (
   SELECT source, source_size, target, least((max(sure) + count(*) FILTER (rank <= open AND target > 0))
          * {BLOCK}, {CAP} * source_size)::BIGINT AS words

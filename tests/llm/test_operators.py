@@ -285,6 +285,17 @@ def test_targets_are_refilled(spark):
         assert got[s] == pytest.approx(want[s])
 
 
+def test_mixing_of_many_sources_equals_sql(spark, tmp_path):
+    import duckdb
+    from check import compare
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(1, 900)), f"s{i % 397:03}") for i in range(1200)] + [(5000 + i, "w " * 3000, "hot") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(spark, con, str(tmp_path), "op10", lambda s, d: mixing.op10(s.read.parquet(f"{d}/documents.parquet")), mixing.SQL) is None
+
+
 def test_mixing_stays_near_targets(spark, docs):
     rows = mixing.op10(docs).collect()
     assert len(rows) == docs.count()
@@ -368,7 +379,9 @@ def test_copies_of_a_shingle_are_numbered(spark):
     ("shared", '{"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":"a"}]}'),
     ("prompt", '{"response":"a","prompt":"q"}'), ("completion", '{"prompt":"q","completion":"a"}'),
     ("instruction", '{"instruction":"q","input":"","output":"a"}'),
-    ("question", '{"question":"q","answer":"a"}'), (None, '{"other":1}'), (None, "3"), (None, None)])
+    ("question", '{"question":"q","answer":"a"}'), (None, '{"prompt":{"response":"x"}}'), (None, '{"a":{"prompt":"q","response":"a"}}'),
+    (None, '{"messages":[[{"role":"user","content":"q"}]]}'), (None, '{"messages":[{"role":{"content":"x"}}]}'),
+    (None, '{"prompt":"q","response":"a","more":{"x":[1]}}'), (None, '{"prompt, response":"q"}'), (None, '{"messages":[]}'), (None, '{"other":1}'), (None, "3"), (None, None)])
 def test_layouts(spark, name, record):
     df = spark.createDataFrame([(record,)], "r string").select(F.parse_json("r").alias("record"))
     got = chat.canonical_turns(df).select("layout", "turns").first()
