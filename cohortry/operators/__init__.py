@@ -13,4 +13,4 @@ from .quality import Check, expr_true, not_null, report, unique, unique_combo
 from .sets import cohort_bitmaps, cohort_except, cohort_intersect, cohort_overlap, cohort_union
 from .skew import GROUP_ROWS, large_groups
 from .stats import category_importance, category_shares, numeric_profile
-from .topn import cluster, score_cut, top_n, with_rank
+from .topn import cluster, interleave, score_cut, top_n, with_rank

@@ -104,3 +104,40 @@ def cluster(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -
     ranged = df.repartitionByRange(partitions, *columns) if partitions \
         else df.repartitionByRange(*columns)
     return ranged.sortWithinPartitions(*keys)
+
+
+def _place_among(value: Column, bounds: Sequence, low: int = 0, high: int | None = None) -> Column:
+    """Number of ``bounds`` (ascending) up to ``value``, by halving; NULL comes before them all."""
+    high = len(bounds) if high is None else high
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(value >= F.lit(bounds[mid]), _place_among(value, bounds, mid + 1, high)).otherwise(
+        _place_among(value, bounds, low, mid))
+
+
+def interleave(df: DataFrame, keys: Sequence[str], partitions: int | None = None, bits: int = 6,
+               sample_rows: int = 20_000) -> DataFrame:
+    """Clusters rows for filters on any one of ``keys``: a range key of their interleaved bits (Z-order).
+
+    Each key counts by its place among 2^``bits`` ranges of about equal rows, whose bounds come from
+    ``sample_rows`` rows, those of least hash; they shape the files, not the rows.  The bits of all places in turn
+    make one number, so a file holds neighbours in every key.  A hash of the row splits hot keys, as in
+    :func:`cluster`.
+    """
+    flat = [c for c, t in df.dtypes if not t.startswith("map")]
+    row = F.xxhash64(*flat)
+    sample = df.select(*keys, row.alias("_row")).orderBy("_row").limit(sample_rows).collect()
+    places = []
+    for k in keys:
+        seen = sorted(r[k] for r in sample if r[k] is not None)
+        bounds = sorted({seen[len(seen) * i // 2**bits] for i in range(1, 2**bits)}) if seen else []
+        places.append(_place_among(F.col(k), bounds).cast("bigint"))
+    z = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for i, place in enumerate(places):
+            one = F.shiftright(place, bit).bitwiseAND(F.lit(1))
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(keys) + len(keys) - 1 - i))
+    columns = [z, row]
+    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+    return ranged.sortWithinPartitions(z, *keys)

@@ -753,7 +753,7 @@ ORACLES["load_columns"] = (
 ORACLES["csv_export"] = ("SELECT c_custkey AS custkey, c_name || ', \"' || c_mktsegment || '\"' AS label, "
                          "CAST(c_acctbal AS VARCHAR) AS balance FROM customer")
 ORACLES["saved_audience"] = f"WITH {_scored()} SELECT individual_id, {big('is_seed')}, similarity_score FROM board"
-ORACLES["clustered_fact"] = ORACLES["enrich"]
+ORACLES["clustered_fact"] = ORACLES["interleaved_fact"] = ORACLES["enrich"]
 ORACLES["merged_drop"] = ('SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS "C_Name", '
                           "CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer")
 ORACLES["seed_cause"] = f"WITH {FACT} {seed()}"

@@ -30,7 +30,7 @@ from cohortry.plans import (audiences_from, build_fact, check_products, choose_s
                             rfm_segments, run_delta, score_population, seed_grid, seed_ids,
                             validate_audiences, write_fact)
 from cohortry.sources import (footer_counts, footer_extremes, list_files, load, load_report, merge_defaults, read_delimited, read_lines,
-                              read_parquet_by_name, read_tolerant, row_counts, save_table, write_csv)
+                              read_parquet_by_name, read_tolerant, row_counts, save_table, write_csv, write_table)
 from cohortry.streaming import (daily_stream, enrich_stream, ingest_stream, load_history, load_stream, loaded_rows,
                                 rejected_rows, upsert_stream, write_stream)
 
@@ -219,6 +219,13 @@ def clustered_fact(d):
     return d.spark.read.parquet(path).drop("trans_month")
 
 
+def interleaved_fact(d):
+    """The fact stored so that a filter on dates or on persons skips files, and read whole."""
+    path = scratch_path(d.spark, "interleaved")
+    write_table(materialise(_fact(d)), path, interleave_by=["trans_date", ID], partitions=16)
+    return d.spark.read.parquet(path)
+
+
 def merged_drop(d):
     """A drop whose files have different columns in different spelling, matched by name."""
     path = scratch_path(d.spark, "unlike")
@@ -841,7 +848,7 @@ QUERIES: dict[str, Callable[[Domain], DataFrame]] = {
     "cohort_overlap": q_cohort_overlap,
     "load_report_files": load_report_files, "list_segments": list_segments, "load_stamped": load_stamped,
     "load_columns": load_columns, "csv_export": csv_export, "saved_audience": saved_audience,
-    "documented_table": documented_table, "clustered_fact": clustered_fact, "merged_drop": merged_drop,
+    "documented_table": documented_table, "clustered_fact": clustered_fact, "interleaved_fact": interleaved_fact, "merged_drop": merged_drop,
     "seed_cause": seed_cause, "seed_gaming": seed_gaming, "dq_products": dq_products,
     "stream_load_good": stream_load_good, "stream_load_rejects": stream_load_rejects,
     "stream_load_history": stream_load_history, "stream_daily_summary": stream_daily_summary,

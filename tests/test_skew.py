@@ -143,6 +143,22 @@ def test_top_n_keeps_exactly_n_of_equal_rows(spark):
     assert top_n(same, "s", "id", 10, range_rows=7).count() == 10
 
 
+def test_interleaved_files_serve_filters_on_either_key(spark, tmp_path):
+    from cohortry.sources import write_table
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 50 != 0, F.format_string("p%04d", F.pmod(F.xxhash64("id"), F.lit(500)))).alias("person"),
+        F.date_add(F.lit("2025-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(365)).cast("int")).alias("day"), "id")
+    write_table(df, str(tmp_path / "z"), interleave_by=["person", "day"], partitions=64)
+    write_table(df, str(tmp_path / "s"), cluster_by=["person", "day"], partitions=64)
+    assert rows(spark.read.parquet(str(tmp_path / "z"))) == rows(df)
+
+    def files(name, cond):
+        return spark.read.parquet(str(tmp_path / name)).where(cond).select("_metadata.file_path").distinct().count()
+    for cond in ("person = 'p0123'", "day = '2025-07-14'", "person is null"):
+        assert files("z", cond) <= 24
+    assert files("s", "day = '2025-07-14'") > 30
+
+
 def test_cluster_splits_a_hot_key(spark, skewed):
     sizes = partition_sizes(cluster(skewed, ["k"], 8))
     assert sum(sizes) == 9000 and max(sizes) < 2500     # the hot key alone has 3000
