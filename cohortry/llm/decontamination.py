@@ -47,10 +47,9 @@ def _lane_simhash(grams: Column, bits: int) -> Column:
     step = 64 // per
     lanes = sum(1 << (step * k) for k in range(per))
 
-    def lane(b):
-        return F.aggregate(grams, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(
-            x, b).bitwiseAND(F.lit(lanes)))
-    sums = F.array(*[lane(b) for b in range(step)])
+    # one expression for all lanes, not one each: plans stay small
+    sums = F.transform(F.sequence(F.lit(0), F.lit(step - 1)), lambda b: F.aggregate(
+        grams, F.lit(0).cast("long"), lambda a, x: a + F.call_function("shiftrightunsigned", x, b).bitwiseAND(F.lit(lanes))))
 
     def bit(total, b, k):
         count = F.shiftrightunsigned(total, step * k).bitwiseAND(F.lit(width))
