@@ -137,6 +137,11 @@ def test_ranges_of_ranks_are_bounded(spark, scores):
     assert max(sizes) < 1000
 
 
+def test_nobody_to_rank(scores):
+    assert top_n(scores.limit(0), "s", "id", 5, rank="at").columns == ["id", "s", "at"]
+    assert top_n(scores.limit(0), "s", "id", 5).count() == top_n(scores, "s", "id", 0).count() == 0
+
+
 def test_top_n_keeps_exactly_n_of_equal_rows(spark):
     same = spark.range(1000).select(F.lit("x").alias("id"), F.lit(1.0).alias("s"))
     assert top_n(same, "s", "id", 10).count() == 10

@@ -126,6 +126,15 @@ def test_overlap_of_cohorts_by_hand(spark):
                    for a in sets for b in sets if a < b}
 
 
+def test_rules_over_no_rows(spark, tmp_path):
+    from cohortry.plans import write_checked
+    rules = [("unique", "id"), ("not_null", "id"), ("expr", "id >= 0")]
+    for i, df in enumerate([spark.range(10).limit(0), spark.range(10).where("id > 100"), spark.createDataFrame([], "id long")]):
+        found = write_checked(df, str(tmp_path / str(i)), "any", rules, cluster_by=["id"])
+        assert [(r["failures"], r["nulls"]) for r in found.collect()] == [(0, 0)] * 3
+        assert [(r["failures"], r["nulls"]) for r in report(df, rules).collect()] == [(0, 0)] * 3
+
+
 def test_comments_are_stored_with_products(spark, tmp_path):
     df = schemas.with_comments(spark.createDataFrame([("p", 1.0)], "individual_id string, tot_spend_3mo double"))
     write_table(df, str(tmp_path / "t"))
