@@ -3,6 +3,7 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
+from cohortry.operators import summarise
 from cohortry.sources import files
 from cohortry.workload import adapters
 
@@ -34,3 +35,17 @@ def test_sources_are_dealt_by_their_rows(spark):
     assert files.spread(df, "id", task_rows=900).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 1_000, 1, 64)
     assert files.spread(many, "id", task_rows=100).rdd.getNumPartitions() == 64
+
+
+def test_aggregates_of_large_groups_do_not_grow_with_the_fields(spark):
+    """One list and one extreme for each type; before, one for each field."""
+    names = [f"c{i}" for i in range(12)]
+    df = spark.range(40).select((F.col("id") % 2).alias("k"), *[F.format_string(f"{n}-%d", F.col("id") % (i + 1)).alias(n)
+                                                                 for i, n in enumerate(names)])
+    args = dict(metrics={"n": F.count(F.lit(1))}, mode_cols={f"m_{n}": n for n in names[6:]},
+                distinct_cols={n: f"n_{n}" for n in names}, list_cols={n: f"l_{n}" for n in names})
+    split = summarise(df, ["k"], split_from=20, **args)
+    assert rows(split) == rows(summarise(df, ["k"], **args))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    part = plan[plan.rindex("Join"):]
+    assert part.count("collect_list(") <= 3 and part.count("min(") + part.count("min_by(") <= 2
