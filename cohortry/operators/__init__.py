@@ -7,7 +7,7 @@ from .incremental import (DuplicateKeys, merge_partitions, replace_slice, newer_
                           since_high_water, upsert)
 from .joins import (active_ids, label_membership, latest_version, left_enrich, membership,
                     recent_ids)
-from .materialise import materialise, scratch_path, shared_dir
+from .materialise import materialise, scratch_path, shared_dir, stored_once
 from .months import MONTH, month_text, prune_months, with_month
 from .quality import Check, expr_true, not_null, report, unique, unique_combo
 from .sets import cohort_bitmaps, cohort_except, cohort_intersect, cohort_overlap, cohort_union

@@ -3,8 +3,10 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
+from cohortry import schemas
 from cohortry.operators import summarise
 from cohortry.sources import files
+from cohortry.streaming import ingest_stream, jobs, upsert_stream
 from cohortry.workload import adapters
 
 
@@ -49,3 +51,55 @@ def test_aggregates_of_large_groups_do_not_grow_with_the_fields(spark):
     plan = split._jdf.queryExecution().optimizedPlan().toString()
     part = plan[plan.rindex("Join"):]
     assert part.count("collect_list(") <= 3 and part.count("min(") + part.count("min_by(") <= 2
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """A batch of a stream that is used again would run its plan and state again."""
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            ran.add(b.num_rows)
+            yield b
+    for first in (0, 3):
+        spark.range(first, 5).select(F.col("id").cast("string").alias("k"), F.lit("p").alias("p")).coalesce(1) \
+            .write.mode("append").parquet(src)
+        stream = ingest_stream(spark, src, schemas.struct([("k", "string"), ("p", "string")]), "parquet") \
+            .mapInArrow(count, "k string, p string")
+        query = upsert_stream(stream, out, ["k"], "p", ckpt)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert ran.value == 7 and spark.read.parquet(out).count() == 5
+    assert not list(tmp_path.glob("batch-*"))
+
+
+def test_state_is_kept_on_disk(spark, tmp_path):
+    """A checkpoint begun with another store goes on with it, and the session is left as it was."""
+    src = str(tmp_path / "src")
+
+    def deliver(first, last):
+        spark.range(first, last).select((F.col("id") % 2).cast("string").alias("k"), F.lit("p").alias("p")).coalesce(1) \
+            .write.mode("append").parquet(src)
+
+    def counted(name):
+        out, ckpt = str(tmp_path / name), str(tmp_path / f"{name}-ckpt")
+        stream = ingest_stream(spark, src, schemas.struct([("k", "string"), ("p", "string")]), "parquet") \
+            .groupBy("k", "p").count()
+        query = upsert_stream(stream, out, ["k"], "p", ckpt, mode="update")
+        query.awaitTermination(120)
+        assert query.exception() is None and spark.conf.get(jobs.STATE_STORE, None) is None
+        return rows(spark.read.parquet(out).select("k", "count")), (tmp_path / f"{name}-ckpt/offsets/0").read_text()
+    deliver(0, 4)
+    spark.conf.set(jobs.STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        upsert_stream(ingest_stream(spark, src, schemas.struct([("k", "string"), ("p", "string")]), "parquet")
+                      .groupBy("k", "p").count(), str(tmp_path / "old"), ["k"], "p", str(tmp_path / "old-ckpt"),
+                      mode="update").awaitTermination(120)
+    finally:
+        spark.conf.unset(jobs.STATE_STORE)
+    counted("new")
+    deliver(4, 7)
+    for name, store in (("old", "HDFSBacked"), ("new", "RocksDB")):
+        got, offsets = counted(name)
+        assert got == [("0", 4), ("1", 3)] and f"{store}StateStoreProvider" in offsets
