@@ -4,8 +4,9 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from cohortry import schemas
-from cohortry.operators import summarise
-from cohortry.sources import files
+from cohortry.operators import cluster, summarise
+from cohortry.plans import build_fact, daily_summary
+from cohortry.sources import files, tables
 from cohortry.streaming import ingest_stream, jobs, upsert_stream
 from cohortry.workload import adapters
 
@@ -103,3 +104,63 @@ def test_state_is_kept_on_disk(spark, tmp_path):
     for name, store in (("old", "HDFSBacked"), ("new", "RocksDB")):
         got, offsets = counted(name)
         assert got == [("0", 4), ("1", 3)] and f"{store}StateStoreProvider" in offsets
+
+
+def _ranges(df, *keys):
+    """Least and greatest key of each partition."""
+    key = F.struct(*keys)
+    return sorted((r["a"], r["b"]) for r in df.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min(key).alias("a"), F.max(key).alias("b")).collect())
+
+
+def test_groups_come_in_ranges_with_one_shuffle(spark):
+    """Missing and repeated keys, and one group that is aggregated value by value."""
+    df = spark.range(600).select(
+        F.when(F.col("id") < 100, 7).otherwise(F.col("id") % 9).cast("int").alias("d"),
+        F.when(F.col("id") < 100, "hot").when(F.col("id") % 11 > 0, F.format_string("p%d", F.col("id") % 70)).alias("k"),
+        F.format_string("v%d", F.col("id") % 5).alias("v"))
+    args = dict(metrics={"n": F.count(F.lit(1))}, mode_cols={"m": "v"}, distinct_cols={"v": "vs"}, list_cols={"v": "l"})
+    got = summarise(df, ["d", "k"], split_from=100, ranged=True, **args)
+    assert rows(got) == rows(summarise(df, ["d", "k"], **args))
+    assert got.where("k = 'hot'").first()["n"] == 100
+    ranged = summarise(df.where("id >= 100"), ["d", "k"], split_from=100, ranged=True, **args)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ends = _ranges(ranged.where("k is not null"), "d", "k")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_a_build_clusters_the_wide_rows_once(spark, tmp_path, monkeypatch):
+    """The summary of a full run comes in the order of its files, without a shuffle of its own."""
+    clustered = []
+    monkeypatch.setattr(tables, "cluster", lambda df, keys, n=None: clustered.append(keys) or cluster(df, keys, n))
+    n = spark.range(400).withColumn("day", F.expr("date_add(date'2001-01-20', cast(id % 25 as int))"))
+    tx = n.select(
+        F.format_string("t%d", F.col("id") % 390).alias("txid"), F.format_string("m%d", F.col("id") % 13).alias("mtid"),
+        F.when(F.col("id") % 7 > 0, F.format_string("c%d", F.col("id") % 30)).alias("membccid"),
+        F.col("day").alias("trans_date"), F.lit("12:00:00").alias("trans_time"), F.lit("UTC").alias("trans_time_zone"),
+        F.col("id").cast("decimal(18,2)").alias("trans_amount"), F.col("day").alias("delivery_date"))
+    card = spark.range(30).selectExpr("'c' || id AS membccid", "if(id % 5 > 0, 'p' || id % 12, null) AS individual_id",
+                                      "'K' AS card_type", "'z' || id AS card_zip", "'A' AS areaid")
+    shop = spark.range(11).selectExpr(
+        "'m' || id AS mtid", "'shop ' || id AS merch_desc", "'1' AS mcc", "'C' AS merch_city", "'S' AS merch_state",
+        "'0' AS merch_zip", "'US' AS merch_country")
+    tags = spark.range(13).selectExpr("'m' || id AS mtid", "cast(id AS int) AS store_id", "1 AS brand_id",
+                                      "'ONLINE' AS channel", "'l' || id % 3 AS locationid")
+    taxonomy = spark.range(13).selectExpr(
+        "cast(id AS int) AS store_id", "1 AS brand_id", "'s' || id AS store_name", "'b' AS brand_name", "'t' AS store_type",
+        "'D' AS brand_type", "1 AS brand_tagging_classification")
+    place = spark.range(3).selectExpr("'l' || id AS locationid", "'a' AS address", "'c' AS city", "'s' AS state",
+                                      "'0' AS zip", "'US' AS country", "'1990-01-01' AS est_open_date",
+                                      "cast(null AS string) AS est_close_date")
+    build_fact(spark, {"transaction": tx, "card": card, "merchant": shop, "brand_tagging": tags, "brand_taxonomy": taxonomy,
+                       "brand_location": place}, str(tmp_path))
+    assert len(clustered) == 1
+    stored = spark.read.parquet(str(tmp_path / "daily_summary")).drop("trans_month")
+    assert rows(stored) == rows(daily_summary(spark.read.parquet(str(tmp_path / "fact")), split_from=None))
+    key = F.struct("trans_date", "individual_id")
+    ends = sorted((r["a"], r["b"]) for r in stored.groupBy(F.col("_metadata.file_path")).agg(
+        F.min(key).alias("a"), F.max(key).alias("b")).collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
