@@ -113,7 +113,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
 
     Texts are lower-cased and split at white space.  NULL and empty texts have no words and match
     nothing; an item under five words matches a document of just these words.  Repeated documents and
-    items match one by one.  Tables of items and of starts are broadcast only when counted as small.
+    items match one by one.  Tables of items and of starts are broadcast only when counted as small; beyond that
+    no table is broadcast by the size of its files.  Many starts are dealt out with the texts that have some.
     """
     items = materialise(shingled(benchmark.select("item_id", "text"), "text").where("_n > 0").select(
         F.monotonically_increasing_id().alias("_item"), "item_id", F.col("_n").alias("m"), "_g",
@@ -121,7 +122,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
     few = small(items.select(F.explode("_g")), broadcast_rows)
 
     def maybe(df):
-        return F.broadcast(df) if few else df
+        return F.broadcast(df) if few else df.hint("merge")
     keyed = with_keys(docs.select("doc_id", "text"))
     grams = shingled(keyed, "text")
     # outer, as the plain form adds a filter that computes the shingles a second time; NULLs join nothing
@@ -129,9 +130,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000
     starts = materialise(grams.select("_key", "_key2", F.posexplode_outer("_g").alias("_at", "_x")).join(
         maybe(wanted), "_x").groupBy("_key", "_key2").agg(
             F.collect_set(F.struct("_at", "m")).alias("_starts")))
-    found = shingled(lookup_join(keyed.select("doc_id", "text", "_key", "_key2"), starts, ["_key", "_key2"],
-                                 broadcast_rows, whole=starts.select(F.explode("_starts"))
-                                 ).where("_starts is not null"), "text")
+    texts, keys, each = keyed.select("doc_id", "text", "_key", "_key2"), ["_key", "_key2"], starts.select(F.explode("_starts"))
+    if not small(each, broadcast_rows):
+        texts = lookup_join(texts, starts.select(*keys, F.lit(True).alias("_hit")), keys, broadcast_rows).where(
+            "_hit").drop("_hit")
+    found = shingled(lookup_join(texts, starts, keys, broadcast_rows, whole=each).where("_starts is not null"), "text")
     windows = found.select("doc_id", "_key", "_key2", "_g", F.explode("_starts").alias("_s")).select(
         "doc_id", "_key", "_key2", F.col("_s._at").alias("start"), F.col("_s.m").alias("m"),
         F.slice("_g", F.col("_s._at") + 1, F.greatest(F.col("_s.m") - (SHINGLE - 1), F.lit(1))).alias("_w"))
