@@ -3,7 +3,7 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
-from cohortry.llm import common, decontamination
+from cohortry.llm import common, decontamination, urls
 from cohortry.operators import materialise
 
 
@@ -34,3 +34,18 @@ def test_many_starts_are_dealt_out_with_the_texts_that_have_some(spark, docs, sf
     assert "BroadcastHashJoin" not in _plan(got)
     (narrow, all_docs), (wide, some) = seen
     assert "_starts" not in narrow and "_starts" in wide and all_docs == docs.count() and some < all_docs
+
+def test_the_models_of_urls_are_not_broadcast(spark, monkeypatch):
+    plans = []
+
+    def stored(df):
+        plans.append(_plan(df))
+        return materialise(df)
+    monkeypatch.setattr(urls, "materialise", stored)
+    pages = spark.range(60).select(F.col("id").alias("page_id"), F.when(F.col("id") % 11 > 0, F.format_string(
+        "https://h%d.%s/%s/%d", F.col("id") % 7, F.element_at(F.array(F.lit("org"), F.lit("com"), F.lit("net")), (F.col("id") % 3 + 1).cast("int")),
+        F.element_at(F.array(F.lit("fr"), F.lit("de")), (F.col("id") % 2 + 1).cast("int")), F.col("id"))).alias("url"))
+    out = urls.op13(pages)
+    plans.append(_plan(out))
+    assert out.count() == 60 and len(plans) == 4
+    assert sum(p.count("SortMergeJoin") for p in plans) >= urls.ORDER + 2 and not any("BroadcastHashJoin" in p for p in plans)
