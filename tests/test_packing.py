@@ -3,7 +3,7 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
-from cohortry.operators import cluster, interleave
+from cohortry.operators import cluster, interleave, summarise
 from cohortry.operators.packing import pack, unpack
 
 ODD = [(1, "a", "b"), (2, None, "b"), (2, None, "b"), (3, "", None), (4, None, None), (5, "", ""), (6, "a\x1fb", "\x1e2"),
@@ -42,7 +42,8 @@ def test_wide_rows_are_shuffled_as_one_text(spark):
     """Before, each text was a column of the shuffled row."""
     names = [f"c{i}" for i in range(12)]
     df = spark.range(300).select((F.col("id") % 90).alias("k"), *[F.format_string(f"{n}-%d", F.col("id")).alias(n) for n in names])
-    for out in (cluster(df, ["k"]), interleave(df, ["k"])):
+    few = summarise(df, ["k"], {"n": F.count(F.lit(1))}, distinct_cols={n: f"n_{n}" for n in names}, split_from=100)
+    for out in (cluster(df, ["k"]), interleave(df, ["k"]), few):
         plan = out._jdf.queryExecution().optimizedPlan()
         found = []
 
@@ -53,3 +54,14 @@ def test_wide_rows_are_shuffled_as_one_text(spark):
                 walk(node.children().apply(i))
         walk(plan)
         assert found and max(found) <= 4
+
+
+def test_summaries_of_odd_texts(spark):
+    df = odd(spark).where("k is null or k < 12")
+    args = dict(metrics={"n": F.count(F.lit(1))}, distinct_cols={"a": "as_", "b": "bs"}, list_cols={"a": "la", "k": "lk"})
+    got = rows(summarise(df, ["day"], **args))
+    assert got == rows(summarise(df, ["day"], split_from=100, **args)) == rows(summarise(df, ["day"], split_from=1, **args))
+    plain = rows(df.groupBy("day").agg(F.count_distinct("a"), F.count_distinct("b")))
+    assert [(r[0], *r[4:]) for r in got] == plain
+    assert rows(summarise(df, ["day"], {"n": F.count(F.lit(1))}, list_cols={"k": "l"}).select("n")) == rows(
+        df.groupBy("day").count().select("count"))
